@@ -1,0 +1,19 @@
+"""Broadcast only what has been measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROW_LIMIT = 100_000
+
+
+def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Hint a broadcast when the frame has at most ``limit`` rows; else leave it alone.
+
+    Runs one bounded count (an action that stops after ``limit + 1`` rows).  Past
+    the limit Spark keeps its shuffled join, which AQE splits where a key is hot.
+    """
+    if frame.limit(limit + 1).count() <= limit:
+        return F.broadcast(frame)
+    return frame

@@ -1,0 +1,5 @@
+"""Deliberately empty: monthly data arrives as explicit batch replacements.
+
+No operator in scope has a watermark, a stream window or per-key stream state,
+so this package holds no code (see "What is not here" in the README).
+"""
