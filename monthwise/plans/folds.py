@@ -50,6 +50,20 @@ def split_manifest(spark: SparkSession, plan: FoldPlan = FoldPlan()) -> DataFram
     )
 
 
+def series_manifest(prices: DataFrame, plan: FoldPlan = FoldPlan()) -> DataFrame:
+    """The manifest repeated for every series, on the month axis of the evaluation."""
+    month = F.col("m")
+    return month_axis(prices, plan).where(is_origin(plan)).select(
+        *SERIES,
+        month_of_index(month).alias("origin_month"),
+        F.lit(plan.mode).alias("evaluation_mode"),
+        F.lit(plan.history_months).alias("minimum_observed_history_months"),
+        F.lit(plan.labeled_origins).alias("minimum_labeled_training_origins"),
+        issue_time(month).alias("issue_at_utc"),
+        split_of(month, plan).alias("split_name"),
+    )
+
+
 def _month(index: int) -> date:
     return date(index // 12, index % 12 + 1, 1)
 
