@@ -78,3 +78,12 @@ def stacked(frames: Sequence[DataFrame]) -> DataFrame:
     for frame in frames[1:]:
         result = result.unionByName(frame)
     return result
+
+
+def one_row(*frames: DataFrame) -> DataFrame:
+    """One-row frames side by side, without a join: stacked and reduced per column."""
+    wide = frames[0]
+    for frame in frames[1:]:
+        wide = wide.unionByName(frame, allowMissingColumns=True)
+    columns = [c for frame in frames for c in frame.columns]
+    return wide.agg(*[F.max(c).alias(c) for c in columns])

@@ -282,3 +282,257 @@ def capture_events(spark: SparkSession, folder: str) -> DataFrame:
             ).alias("source_update_text"),
         )
     )
+
+
+# --- raw forms of the same data, for the ingest operators ------------------------------
+
+SHEET_CELLS = {
+    "urgent": "1-URGENT", "high": "2-HIGH", "medium": "3-MEDIUM",
+    "unspecified": "4-NOT SPECIFIED", "low": "5-LOW",
+}
+
+
+def wide_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """Price rows as wide text sheets, one per order status and customer block.
+
+    Numbers carry one more digit than the table keeps (a tie that goes to the even digit)
+    and null prices are one of the missing markers.
+    """
+    prices = monthly_prices(spark, folder)
+    month = month_index(F.col("period_month"))
+    text = F.when(
+        F.col("price_usd_per_kg").isNull(), F.when(month % 2 == 0, "..").otherwise(" n.a. ")
+    ).otherwise(F.concat(F.col("source_value_text"), F.lit("5")))
+    block = F.substring_index("series_id", "/", -1)
+    priority = F.substring_index("series_id", "/", 1)
+    cells = [
+        F.max(F.when(priority == name, text)).alias(column) for column, name in SHEET_CELLS.items()
+    ]
+    sheets = prices.groupBy(
+        F.concat("source_dataset", F.lit("/"), block).alias("source_dataset"), "period_month"
+    ).agg(*cells)
+    return sheets.select(
+        "source_dataset",
+        F.concat(F.lit("sheet-"), "source_dataset").alias("source_capture_id"),
+        month.cast("int").alias("row_no"),
+        F.date_format("period_month", "yyyy'M'MM").alias("period_text"),
+        *SHEET_CELLS,
+    )
+
+
+def broken_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """The sheets with errors cut in: bad periods, repeated rows, text, NaN and formulas."""
+    row = F.col("row_no")
+    return (
+        wide_sheets(spark, folder)
+        .withColumns(
+            {
+                "period_text": F.when(
+                    row % 17 == 3, F.concat(F.substring("period_text", 1, 5), F.lit("13"))
+                ).otherwise(F.col("period_text")),
+                "high": F.when(row % 19 == 4, "abc").otherwise(F.col("high")),
+                "medium": F.when(row % 23 == 5, "NaN").otherwise(F.col("medium")),
+                "unspecified": F.when(row % 31 == 7, "=A1+1").otherwise(F.col("unspecified")),
+                "low": F.when(row % 37 == 8, "1000000000000").otherwise(F.col("low")),
+            }
+        )
+        .withColumn(
+            "copy",
+            F.explode(
+                F.when(row % 29 == 6, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+            ),
+        )
+        .drop("copy")
+    )
+
+
+def cube_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Trade cells as JSON cube documents, one per reporter and month.
+
+    Even months hold sparse values and mapped positions, odd months dense values and listed
+    positions.  A document holds at most partners x products x flows x indicators cells.
+    """
+    amounts = shipped_amounts(spark, folder)
+    cells = _as_cells(amounts)
+    partner_codes = [f"NATION_{n}" for n in range(25)] + ["WORLD", "BLOC_3"]
+    product_codes = [f"Brand#{n}" for n in range(1, 26)]
+    flow_codes, indicators = ["1", "2"], ["VALUE_IN_EUROS", "QUANTITY_IN_100KG"]
+    sizes = [1, 1, len(partner_codes), len(product_codes), 2, 2, 1]
+    total = len(partner_codes) * len(product_codes) * 4
+
+    def texts(values: list[str]) -> Column:
+        return F.array(*[F.lit(v) for v in values])
+
+    place = (
+        (
+            (F.array_position(texts(partner_codes), F.col("partner_code")) - 1)
+            * len(product_codes)
+            + F.array_position(texts(product_codes), F.col("product_code")) - 1
+        )
+        * 2
+        + F.array_position(texts(flow_codes), F.col("flow_code")) - 1
+    ) * 2 + F.array_position(texts(indicators), F.col("indicator_code")) - 1
+    key = place.cast("string")
+    documents = cells.groupBy("reporter_code", "period_month", "status_available").agg(
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("source_value").isNotNull(), F.struct(key, "source_value")))
+        ).alias("values"),
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("source_status").isNotNull(), F.struct(key, "source_status")))
+        ).alias("statuses"),
+        F.max("source_update_time").alias("updated"),
+    )
+    month = F.date_format("period_month", "yyyy-MM")
+    year, sparse = F.year("period_month"), month_index(F.col("period_month")) % 2 == 0
+
+    def json_text(values: Column) -> Column:
+        return F.concat_ws(",", F.transform(values, lambda v: F.concat(F.lit('"'), v, F.lit('"'))))
+
+    def category(values: Column, labels: Column | None = None) -> Column:
+        listed = F.concat(F.lit("["), json_text(values), F.lit("]"))
+        mapped = F.concat(
+            F.lit("{"),
+            F.concat_ws(
+                ",",
+                F.transform(
+                    values,
+                    lambda v, n: F.concat(F.lit('"'), v, F.lit('":'), n.cast("string")),
+                ),
+            ),
+            F.lit("}"),
+        )
+        names = F.lit("{}") if labels is None else F.concat(
+            F.lit("{"),
+            F.concat_ws(
+                ",",
+                F.zip_with(
+                    values, labels,
+                    lambda v, t: F.concat(F.lit('"'), v, F.lit('":"'), t, F.lit('"')),
+                ),
+            ),
+            F.lit("}"),
+        )
+        return F.concat(
+            F.lit('{"category":{"index":'), F.when(sparse, mapped).otherwise(listed),
+            F.lit(',"label":'), names, F.lit("}}"),
+        )
+
+    labels = F.transform(
+        texts(partner_codes),
+        lambda code, n: F.when(n >= 25, code)
+        .when((n % 7 == 3) & (year >= 1999), F.concat(F.lit("Nation "), n.cast("string"), F.lit(" (renamed)")))
+        .otherwise(F.concat(F.lit("Nation "), n.cast("string"))),
+    )
+    dimension = F.concat(
+        F.lit('{"freq":'), category(texts(["M"])),
+        F.lit(',"reporter":'), category(F.array("reporter_code")),
+        F.lit(',"partner":'), category(texts(partner_codes), labels),
+        F.lit(',"product":'), category(texts(product_codes)),
+        F.lit(',"flow":'), category(texts(flow_codes)),
+        F.lit(',"indicators":'), category(texts(indicators)),
+        F.lit(',"time":'), category(F.array(month)),
+        F.lit("}"),
+    )
+    dense = F.concat(
+        F.lit("["),
+        F.concat_ws(
+            ",",
+            F.transform(
+                F.sequence(F.lit(0), F.lit(total - 1)),
+                lambda n: F.coalesce(
+                    F.try_element_at("values", n.cast("string")).cast("string"), F.lit("null")
+                ),
+            ),
+        ),
+        F.lit("]"),
+    )
+    sparse_values = F.concat(
+        F.lit("{"),
+        F.concat_ws(
+            ",",
+            F.transform(
+                F.map_entries("values"),
+                lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"].cast("string")),
+            ),
+        ),
+        F.lit("}"),
+    )
+    status = F.when(
+        F.col("status_available"), F.concat(F.lit(',"status":'), F.to_json("statuses"))
+    ).otherwise("")
+    content = F.concat(
+        F.lit('{"class":"dataset","version":"2.0","id":["freq","reporter","partner","product","flow","indicators","time"],"size":'),
+        F.lit(str(sizes).replace(" ", "")),
+        F.lit(',"updated":"'), "updated", F.lit('","dimension":'), dimension,
+        F.lit(',"value":'), F.when(sparse, sparse_values).otherwise(dense), status, F.lit("}"),
+    )
+    return documents.select(
+        F.concat("reporter_code", F.lit("-"), month).alias("document_id"), content.alias("content")
+    )
+
+
+def cube_requests(documents: DataFrame) -> DataFrame:
+    """The scope each document was asked for, from its id."""
+    partners = [f"NATION_{n}" for n in range(25)] + ["WORLD", "BLOC_3"]
+
+    def texts(values: list[str]) -> Column:
+        return F.array(*[F.lit(v) for v in values])
+
+    return documents.select(
+        "document_id",
+        F.array(F.substring_index("document_id", "-", 1)).alias("reporters"),
+        texts(partners).alias("partners"),
+        texts([f"Brand#{n}" for n in range(1, 26)]).alias("products"),
+        texts(["1", "2"]).alias("flows"),
+        texts(["VALUE_IN_EUROS", "QUANTITY_IN_100KG"]).alias("indicators"),
+        F.array(F.substring_index("document_id", "-", -2)).alias("months"),
+    )
+
+
+def repeated_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Trade cells with some keys repeated: equal rows for one brand, other values for another."""
+    brand = _number_after(F.col("product_code"), "#")
+    copies = F.when(
+        (brand <= 2) & (month_index(F.col("period_month")) % 13 == 0),
+        F.array(F.lit(0), F.lit(1)),
+    ).otherwise(F.array(F.lit(0)))
+    changed = (F.col("copy") == 1) & (brand == 2)
+    return (
+        trade_cells(spark, folder)
+        .withColumn("copy", F.explode(copies))
+        .withColumn(
+            "source_value_text",
+            F.when(changed, F.lit("changed")).otherwise(F.col("source_value_text")),
+        )
+        .drop("copy")
+    )
+
+
+def revised_cells(cells: DataFrame) -> DataFrame:
+    """A later version of the cells: some withdrawn, the others' values raised by one tenth."""
+    brand = _number_after(F.col("product_code"), "#")
+    kept = F.pmod(brand + month_index(F.col("period_month")), F.lit(7)) != 0
+    value = (F.col("source_value") * F.lit("1.1").cast("decimal(2,1)")).cast("decimal(24,4)")
+    return cells.where(kept).withColumns(
+        {
+            "source_value": value,
+            "source_value_text": value.cast("string"),
+            "source_capture_id": F.concat(F.col("source_capture_id"), F.lit("-b")),
+            "source_update_time": F.lit("2002-02-15T11:00:00+0000"),
+        }
+    )
+
+
+def requested_universe(spark: SparkSession, folder: str) -> DataFrame:
+    """Per reporter every partner, product and flow, and one partner that never trades."""
+    names = table(spark, folder, "nation").agg(F.collect_list("n_name"))
+    brands = table(spark, folder, "part").select("p_brand").distinct()
+    reporters = table(spark, folder, "lineitem").select("l_returnflag").distinct()
+    totals = F.array(F.lit("WORLD"), F.lit("BLOC_3"), F.lit("NATION_ABSENT"))
+    return reporters.select(
+        F.lit("driver_trade").alias("source_dataset"),
+        F.concat(F.lit("R"), "l_returnflag").alias("reporter_code"),
+        F.concat(names.scalar(), totals).alias("partners"),
+        brands.agg(F.collect_list("p_brand")).scalar().alias("products"),
+        F.array(F.lit("1"), F.lit("2")).alias("flows"),
+    )

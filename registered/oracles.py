@@ -557,3 +557,403 @@ oracle("forecast_selection_gaps", "series_origins selection", """
 """)
 oracle("forecast_metrics", "score_table",
        rounded("score_table", "mae", "rmse", "smape_percent", "interval_coverage", "mean_interval_width"))
+
+# --- ingest ----------------------------------------------------------------------------
+
+cte("sheet_cells", "prices", """
+  SELECT k.source_dataset, k.period_month, s.name AS series_id, p.price_usd_per_kg AS price,
+         p.period_month IS NOT NULL AS present, k.mi
+  FROM (SELECT DISTINCT source_dataset || '/' || split_part(series_id, '/', 2) AS source_dataset, period_month,
+               year(period_month) * 12 + month(period_month) - 1 AS mi FROM prices) k
+  CROSS JOIN (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW')) s(name)
+  LEFT JOIN prices p ON p.source_dataset || '/' || split_part(p.series_id, '/', 2) = k.source_dataset
+    AND split_part(p.series_id, '/', 1) = s.name AND p.period_month = k.period_month
+""")
+oracle("wide_ingest", "sheet_cells", """
+  SELECT source_dataset, series_id, period_month,
+    CASE WHEN NOT present THEN NULL WHEN price IS NULL THEN CASE mi % 2 WHEN 0 THEN '..' ELSE ' n.a. ' END
+         ELSE CAST(price AS VARCHAR) || '5' END AS source_value_text,
+    price AS price_usd_per_kg, 'sheet-' || source_dataset AS source_capture_id, CAST(NULL AS VARCHAR) AS source_status
+  FROM sheet_cells WHERE period_month BETWEEN DATE '1995-03-01' AND DATE '2001-06-01'
+""")
+oracle("ingest_violations", "sheet_cells", """
+  WITH sheet_rows AS (
+    SELECT DISTINCT source_dataset, period_month, mi, year(period_month) AS y,
+      CASE WHEN mi % 17 = 3 THEN year(period_month) || 'M13'
+           ELSE strftime(period_month, '%YM%m') END AS period_text,
+      CASE mi % 29 WHEN 6 THEN 2 ELSE 1 END AS copies,
+      mi % 17 = 3 AS bad_period,
+      CASE WHEN mi % 17 <> 3 AND period_month >= DATE '1995-03-01' AND period_month <= DATE '2001-06-01'
+        THEN (mi % 19 = 4)::INT + (mi % 23 = 5)::INT + (mi % 31 = 7)::INT + (mi % 37 = 8)::INT ELSE 0 END AS bad_cells
+    FROM sheet_cells),
+  found AS (
+    SELECT source_dataset, period_text, 'bad_period' AS rule, sum(copies) AS n FROM sheet_rows WHERE bad_period GROUP BY ALL
+    UNION ALL
+    SELECT source_dataset, period_text, 'duplicate_period', copies FROM sheet_rows WHERE NOT bad_period AND copies > 1
+    UNION ALL
+    SELECT source_dataset, period_text, 'bad_number', bad_cells * copies FROM sheet_rows WHERE bad_cells > 0)
+  SELECT source_dataset, 'sheet-' || source_dataset AS source_capture_id, period_text, rule,
+         CAST(n AS BIGINT) AS occurrences FROM found
+""")
+oracle("price_coverage", "prices", """
+  SELECT source_dataset, series_id, CAST(80 AS BIGINT) AS requested_month_count,
+         count(DISTINCT period_month) AS represented_month_count,
+         80 - count(DISTINCT period_month) AS missing_month_count,
+         count(*) - count(price_usd_per_kg) AS null_price_count,
+         max(CASE WHEN price_usd_per_kg IS NOT NULL THEN period_month END) AS latest_observed
+  FROM prices GROUP BY ALL
+""")
+cte("decodable", "cells", """
+  SELECT * FROM cells WHERE source_value IS NOT NULL OR source_status IS NOT NULL
+""")
+oracle("cube_decode", "decodable", "SELECT * EXCLUDE (source_capture_id) FROM decodable")
+oracle("cube_scope_violations", "cells", """
+  SELECT reporter_code || '-' || strftime(period_month, '%Y-%m') AS document_id, rule
+  FROM (SELECT DISTINCT reporter_code, period_month, year(period_month) * 12 + month(period_month) - 1 AS mi FROM cells)
+  CROSS JOIN (VALUES ('not_requested'), ('unexpected_flow_scope')) r(rule)
+  WHERE CASE rule WHEN 'not_requested' THEN mi % 9 = 0 ELSE mi % 9 <> 0 AND mi % 10 = 1 END
+""")
+oracle("cell_stats", "cells", """
+  SELECT source_capture_id, count(*) AS represented_cell_count, count(source_value) AS value_cell_count,
+    count(source_status) AS status_cell_count, count(CASE WHEN source_value = 0 THEN 1 END) AS explicit_zero_count,
+    max(status_available) AS status_available,
+    min(CASE WHEN source_value IS NOT NULL THEN period_month END) AS first_observed_month,
+    max(CASE WHEN source_value IS NOT NULL THEN period_month END) AS last_observed_month
+  FROM cells GROUP BY source_capture_id
+""")
+cte("coverage_rows", "cells", """
+  SELECT source_dataset, reporter_code, partner_code, product_code, flow_code,
+    max(period_month) FILTER (source_value IS NOT NULL AND indicator_code = 'VALUE_IN_EUROS') AS last_value_month,
+    max(period_month) FILTER (source_value IS NOT NULL AND indicator_code = 'QUANTITY_IN_100KG') AS last_quantity_month,
+    max(period_month) FILTER (source_value IS NOT NULL AND paired) AS last_paired_month
+  FROM (SELECT *, count(source_value) OVER (PARTITION BY reporter_code, partner_code, product_code, flow_code,
+                                            period_month) = 2 AS paired FROM cells)
+  GROUP BY ALL
+""")
+oracle("series_coverage", "coverage_rows", rounded("coverage_rows"))
+oracle("key_conflicts", "cells", """
+  SELECT source_dataset, frequency_code, reporter_code, partner_code, product_code, flow_code, indicator_code,
+         period_month, CAST(2 AS BIGINT) AS row_count,
+         CASE product_code WHEN 'Brand#1' THEN 'duplicate' ELSE 'conflicting' END AS kind
+  FROM cells WHERE product_code IN ('Brand#1', 'Brand#2')
+    AND (year(period_month) * 12 + month(period_month) - 1) % 13 = 0
+""")
+oracle("mixed_updates", "cells", """
+  SELECT source_dataset, '2002-01-15T11:00:00+0000' AS first_update_time, '2002-02-15T11:00:00+0000' AS last_update_time
+  FROM cells GROUP BY source_dataset
+  HAVING bool_or(period_month >= DATE '2000-01-01') AND bool_or(period_month < DATE '2000-01-01')
+""")
+
+# --- revision --------------------------------------------------------------------------
+
+cte("scoped", "cells", """
+  SELECT *, (period_month BETWEEN DATE '1997-01-01' AND DATE '1997-06-01' AND flow_code = '1'
+             AND reporter_code IN ('RA', 'RN'))
+         OR (period_month BETWEEN DATE '1999-03-01' AND DATE '1999-04-01' AND reporter_code = 'RR'
+             AND product_code IN ('Brand#3', 'Brand#4', 'Brand#12')) AS hit,
+         (CAST(split_part(product_code, '#', 2) AS INTEGER) + year(period_month) * 12 + month(period_month) - 1) % 7 <> 0
+           AS survives
+  FROM cells
+""")
+cte("replaced", "scoped", """
+  SELECT * EXCLUDE (hit, survives) FROM scoped WHERE NOT hit
+  UNION ALL
+  SELECT * EXCLUDE (hit, survives) REPLACE (
+    CAST(source_value * 1.1 AS DECIMAL(24,4)) AS source_value,
+    CAST(CAST(source_value * 1.1 AS DECIMAL(24,4)) AS VARCHAR) AS source_value_text,
+    source_capture_id || '-b' AS source_capture_id, '2002-02-15T11:00:00+0000' AS source_update_time)
+  FROM scoped WHERE hit AND survives
+""")
+oracle("scope_replace", "replaced", rounded("replaced"))
+oracle("scope_untouched", "scoped", """
+  SELECT version, count(*) AS row_count, CAST(sum(source_value) AS DECIMAL(38,4)) AS value_sum
+  FROM scoped CROSS JOIN (VALUES ('before'), ('after')) v(version) WHERE NOT hit GROUP BY version
+""")
+oracle("refresh_equal", "replaced", """
+  SELECT CAST(0 AS BIGINT) AS only_stepwise, CAST(0 AS BIGINT) AS only_rebuilt, count(*) AS rebuilt_rows FROM replaced
+""")
+oracle("restored_vintage", "replaced cells", """
+  SELECT CAST(0 AS BIGINT) AS rows_still_different,
+    (SELECT count(*) FROM (SELECT * FROM cells EXCEPT ALL SELECT * FROM replaced))
+    + (SELECT count(*) FROM (SELECT * FROM replaced EXCEPT ALL SELECT * FROM cells)) AS rows_replaced
+""")
+oracle("selection_complete", "amounts", """
+  WITH covering AS (
+    SELECT CAST(m AS DATE) AS period_month, c.product_code, count(*) AS n
+    FROM (SELECT DISTINCT reporter_code, product_code, year(period_month) AS y FROM amounts
+          WHERE reporter_code <> 'RN' AND product_code IN ('Brand#3', 'Brand#4')) c
+    JOIN (SELECT unnest(generate_series(DATE '1997-05-01', DATE '1998-02-01', INTERVAL 1 MONTH)) AS m) t ON year(m) = c.y
+    GROUP BY ALL)
+  SELECT CAST(m AS DATE) AS period_month, p AS product_code, coalesce(n, 0) AS covering_slices,
+         CAST(1 AS BIGINT) AS requests, CASE WHEN n IS NULL THEN 'missing' ELSE 'overlapping' END AS problem
+  FROM (SELECT unnest(generate_series(DATE '1997-05-01', DATE '1998-02-01', INTERVAL 1 MONTH)) AS m)
+  CROSS JOIN (VALUES ('Brand#3'), ('Brand#4'), ('Brand#99')) q(p)
+  LEFT JOIN covering ON covering.period_month = CAST(m AS DATE) AND covering.product_code = p
+  WHERE coalesce(n, 0) <> 1
+""")
+oracle("backfill_gaps", "prices", """
+  SELECT CAST(m AS DATE) AS period_month
+  FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS m)
+  WHERE NOT EXISTS (SELECT 1 FROM prices WHERE source_dataset = 'orders_O' AND starts_with(series_id, '3-MEDIUM/')
+                    AND period_month = CAST(m AS DATE))
+""")
+
+# --- captures --------------------------------------------------------------------------
+
+cte("events_seen", "", """
+  SELECT 'orders_' || o_orderstatus || '-' || year(o_orderdate) AS source_capture_id, quarter(o_orderdate) AS q,
+         CAST(max(o_orderdate) AS DATE) AS last_day
+  FROM orders GROUP BY ALL
+""")
+cte("registry", "events_seen", """
+  SELECT source_capture_id, 'Updated on ' || strftime(max(last_day), '%B %-d, %Y') AS source_update_text,
+         max(last_day) AS source_update_date,
+         strftime(max(last_day) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS retrieved_at_utc,
+         strftime(min(last_day) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS first_seen_capture_at_utc
+  FROM events_seen GROUP BY source_capture_id
+""")
+oracle("capture_registry", "registry", rounded("registry"))
+oracle("selection_history", "events_seen", """
+  SELECT 'prices' AS dataset, source_capture_id,
+    strftime(min(last_day) + INTERVAL 4 DAY, '%Y-%m-%d %H:%M:%S') AS first_selected_at_utc,
+    strftime(min(last_day) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS first_seen_capture_at_utc,
+    count(*) + count(CASE WHEN year(last_day + INTERVAL 1 DAY) >= 1999 THEN 1 END) AS selection_count
+  FROM events_seen GROUP BY source_capture_id
+""")
+oracle("capture_lineage", "features targets", """
+  SELECT DISTINCT capture_id FROM (
+    SELECT unnest([lag_0_capture_id, lag_1_capture_id, lag_3_capture_id, lag_12_capture_id]) AS capture_id FROM features
+    UNION ALL SELECT target_capture_id FROM targets)
+  WHERE capture_id LIKE '%-1997'
+""")
+cte("provenance_rows", "price_facts registry", """
+  SELECT f.source_capture_id, 'prices' AS dataset, f.fact_count, r.source_update_text, r.retrieved_at_utc,
+         r.first_seen_capture_at_utc, r.source_capture_id IS NOT NULL AS resolved
+  FROM (SELECT source_capture_id, count(*) AS fact_count FROM price_facts GROUP BY ALL) f
+  LEFT JOIN (SELECT * FROM registry WHERE source_capture_id NOT LIKE '%-1997') r USING (source_capture_id)
+""")
+oracle("provenance", "provenance_rows", rounded("provenance_rows"))
+oracle("source_versions", "price_facts registry", """
+  SELECT 'prices' AS dataset, count(*) AS capture_count,
+         string_agg(source_capture_id, ',' ORDER BY source_capture_id) AS source_capture_ids,
+         count(DISTINCT source_update_text) AS update_count, min(retrieved_at_utc) AS first_retrieved_at_utc,
+         max(retrieved_at_utc) AS last_retrieved_at_utc
+  FROM registry WHERE source_capture_id IN (SELECT source_capture_id FROM price_facts)
+""")
+oracle("freshness_prices", "prices", """
+  SELECT source_dataset, series_id, latest_observed, date_diff('month', latest_observed, DATE '2002-01-01')
+    AS observed_age_months
+  FROM (SELECT source_dataset, series_id, max(CASE WHEN price_usd_per_kg IS NOT NULL THEN period_month END)
+          AS latest_observed FROM prices GROUP BY ALL)
+""")
+oracle("freshness_trade", "coverage_rows", """
+  WITH requested AS (
+    SELECT r.reporter_code, p.partner_code, b.product_code, f.flow_code, x.last_paired_month AS m,
+      CASE WHEN p.partner_code = 'WORLD' THEN 'world' WHEN p.partner_code = 'BLOC_3' THEN 'aggregate'
+           WHEN p.partner_code IN ('NATION_22', 'NATION_23', 'NATION_24') THEN 'special' ELSE 'detail' END AS layer
+    FROM (SELECT DISTINCT 'R' || l_returnflag AS reporter_code FROM lineitem) r
+    CROSS JOIN (SELECT n_name AS partner_code FROM nation
+                UNION ALL VALUES ('WORLD'), ('BLOC_3'), ('NATION_ABSENT')) p
+    CROSS JOIN (SELECT DISTINCT p_brand AS product_code FROM part) b
+    CROSS JOIN (VALUES ('1'), ('2')) f(flow_code)
+    LEFT JOIN coverage_rows x ON x.reporter_code = r.reporter_code AND x.partner_code = p.partner_code
+      AND x.product_code = b.product_code AND x.flow_code = f.flow_code)
+  SELECT 'driver_trade' AS source_dataset, reporter_code, product_code, flow_code, layer,
+    count(*) AS requested_series, count(m) AS series_with_paired_observations, max(m) AS latest_paired_month,
+    min(m) AS oldest_series_latest_month,
+    count(CASE WHEN m = newest THEN 1 END) AS series_at_latest_month,
+    date_diff('month', max(m), DATE '2002-01-01') AS observed_age_months
+  FROM (SELECT *, max(m) OVER (PARTITION BY reporter_code, product_code, flow_code, layer) AS newest FROM requested)
+  GROUP BY ALL
+""")
+
+# --- data quality ----------------------------------------------------------------------
+
+FACT_COLUMNS = (
+    "month_key source_dataset frequency_code reporter_code partner_code partner_label partner_class "
+    "is_partner_detail product_code product_group classification_code classification_year "
+    "comparability_segment flow_code flow_name value_basis trade_value_eur net_mass_kg unit_value_eur_per_kg "
+    "value_cell_present has_numeric_value value_status value_status_available quantity_cell_present "
+    "has_numeric_mass quantity_status quantity_status_available has_paired_measures source_capture_id "
+    "source_update_time trade_observation_key trade_product_key trade_partner_key commodity_key"
+).split()
+oracle("dq_not_null", "facts", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) - count({c}) AS violations FROM facts" for c in FACT_COLUMNS
+))
+oracle("dq_unique", "products", """
+  SELECT product_code, count(*) AS row_count FROM products GROUP BY product_code HAVING count(*) > 1
+  UNION ALL SELECT trade_product_key, count(*) FROM products GROUP BY trade_product_key HAVING count(*) > 1
+""")
+oracle("dq_unique_observations", "staged", """
+  SELECT source_dataset, frequency_code, reporter_code, partner_code, product_code, flow_code, indicator_code,
+         period_month, count(*) AS row_count
+  FROM staged GROUP BY ALL HAVING count(*) > 1
+""")
+oracle("dq_accepted", "staged", """
+  SELECT 'source_status' AS column_name, source_status AS value, count(*) AS violations
+  FROM staged WHERE source_status NOT IN ('u', 'p') GROUP BY ALL
+""")
+oracle("dq_relationships", "facts products", """
+  SELECT trade_product_key AS key, count(*) AS violations FROM facts
+  WHERE trade_product_key NOT IN (SELECT trade_product_key FROM products) GROUP BY ALL
+""")
+oracle("dq_staging_semantics", "staged", """
+  SELECT check_name, CAST((SELECT count(*) FROM staged WHERE CASE check_name
+      WHEN 'normalized_presence' THEN (source_value IS NULL) <> (normalized_value IS NULL)
+      WHEN 'value_units' THEN indicator_code = 'VALUE_IN_EUROS' AND (source_unit <> 'EUR' OR normalized_unit <> 'EUR')
+      WHEN 'value_normalization' THEN indicator_code = 'VALUE_IN_EUROS' AND normalized_value <> source_value
+      WHEN 'mass_units' THEN indicator_code = 'QUANTITY_IN_100KG' AND (source_unit <> '100kg' OR normalized_unit <> 'kg')
+      WHEN 'mass_normalization' THEN indicator_code = 'QUANTITY_IN_100KG' AND normalized_value <> source_value * 100
+      WHEN 'partner_class' THEN (partner_class = 'aggregate') = is_partner_detail
+      ELSE NOT status_available AND source_status IS NOT NULL END) AS BIGINT) AS violations
+  FROM (VALUES ('normalized_presence'), ('value_units'), ('value_normalization'), ('mass_units'),
+               ('mass_normalization'), ('partner_class'), ('status_without_field')) t(check_name)
+""")
+oracle("dq_scope_break", "facts", """
+  SELECT count(*) AS violations FROM facts WHERE product_code = 'Brand#8'
+    AND comparability_segment <> CASE WHEN year(month_key) < 1998 THEN '1995-1997' ELSE '1998-2001' END
+""")
+oracle("dq_mapping_shape", "mapping", """
+  SELECT count(*) AS leaf_count, min(valid_from_year) AS first_year, max(valid_to_year) AS last_year
+  FROM mapping HAVING count(*) <> 25 OR min(valid_from_year) <> 1995 OR max(valid_to_year) <> 2001
+""")
+oracle("dq_preservation", "facts staged products partners", """
+  SELECT s.*, f.*, j.*
+  FROM (SELECT count(DISTINCT concat_ws('|', source_dataset, reporter_code, partner_code, product_code, flow_code,
+                                        period_month)) AS expected_fact_count,
+               CAST(sum(CASE indicator_code WHEN 'VALUE_IN_EUROS' THEN source_value END) AS DECIMAL(38,4)) AS staged_value_eur,
+               CAST(sum(CASE indicator_code WHEN 'QUANTITY_IN_100KG' THEN normalized_value END) AS DECIMAL(38,4)) AS staged_mass_kg
+        FROM staged) s,
+       (SELECT count(*) AS fact_count, CAST(sum(trade_value_eur) AS DECIMAL(38,4)) AS fact_value_eur,
+               CAST(sum(net_mass_kg) AS DECIMAL(38,4)) AS fact_mass_kg FROM facts) f,
+       (SELECT count(*) AS joined_count, CAST(sum(trade_value_eur) AS DECIMAL(38,4)) AS joined_value_eur,
+               CAST(sum(net_mass_kg) AS DECIMAL(38,4)) AS joined_mass_kg
+        FROM facts JOIN products USING (trade_product_key) JOIN partners USING (trade_partner_key)) j
+""")
+oracle("dq_metric_invariants", "facts shares metrics balances concentration", """
+  SELECT 'unit_value_without_mass' AS check_name, count(*) AS violations FROM facts
+    WHERE net_mass_kg <= 0 AND unit_value_eur_per_kg IS NOT NULL
+  UNION ALL SELECT 'unit_value_wrong', count(*) FROM facts WHERE net_mass_kg > 0 AND trade_value_eur IS NOT NULL
+    AND abs(unit_value_eur_per_kg - trade_value_eur / net_mass_kg) > 1e-12
+  UNION ALL SELECT 'named_shares_sum', count(*) FROM (
+    SELECT sum(named_partner_value_share) AS t FROM shares WHERE has_positive_named_denominator
+    GROUP BY source_dataset, reporter_code, month_key, product_group, flow_code) WHERE abs(t - 1) > 1e-12
+  UNION ALL SELECT 'product_shares_sum', count(*) FROM (
+    SELECT sum(observed_product_value_share) AS t FROM metrics WHERE observed_product_mix_denominator_eur > 0
+    GROUP BY source_dataset, reporter_code, month_key, flow_code) WHERE abs(t - 1) > 1e-12
+  UNION ALL SELECT 'balance_gate', count(*) FROM balances
+    WHERE CASE WHEN has_compatible_flow_coverage THEN trade_balance_eur <> export_value_fob_eur - import_value_cif_eur
+               ELSE trade_balance_eur IS NOT NULL END
+  UNION ALL SELECT 'hhi_without_denominator', count(*) FROM concentration
+    WHERE NOT has_positive_named_denominator AND named_partner_hhi IS NOT NULL
+  UNION ALL SELECT 'hhi_out_of_range', count(*) FROM concentration WHERE NOT named_partner_hhi BETWEEN 0 AND 1
+""")
+oracle("dq_forecast_datasets", "series_origins features targets", """
+  SELECT 'split_name' AS check_name, count(*) AS violations FROM series_origins
+    WHERE split_name <> CASE WHEN year(origin_month) < 1998 THEN 'training' WHEN year(origin_month) < 2000
+                             THEN 'development' ELSE 'holdout' END
+  UNION ALL SELECT 'evaluation_mode', count(*) FROM series_origins WHERE evaluation_mode <> 'retrospective_current_vintage'
+  UNION ALL SELECT 'gates', count(*) FROM series_origins
+    WHERE minimum_observed_history_months <> 24 OR minimum_labeled_training_origins <> 12
+  UNION ALL SELECT 'issue_time', count(*) FROM series_origins
+    WHERE CAST(issue_at_utc AS TIMESTAMP) <> origin_month + INTERVAL 1 MONTH
+  UNION ALL SELECT 'lag_month', count(*) FROM features WHERE date_diff('month', lag_0_month, origin_month) <> 0
+    OR date_diff('month', lag_1_month, origin_month) <> 1 OR date_diff('month', lag_3_month, origin_month) <> 3
+    OR date_diff('month', lag_12_month, origin_month) <> 12
+  UNION ALL SELECT 'history_gate', count(*) FROM features
+    WHERE has_minimum_history <> (observed_history_months_24 = 24)
+  UNION ALL SELECT 'history_length', count(*) FROM features WHERE observed_history_months_24 > 24
+  UNION ALL SELECT 'horizon', count(*) FROM targets WHERE horizon_months NOT IN (1, 3)
+  UNION ALL SELECT 'target_month', count(*) FROM targets
+    WHERE date_diff('month', origin_month, target_month) <> horizon_months OR target_month <= origin_month
+  UNION ALL SELECT 'labeled_origins', count(*) FROM targets WHERE labeled_training_origins < 0
+""")
+oracle("dq_forecast_results", "calibrated score_table", """
+  SELECT 'prediction_key' AS check_name, count(*) AS violations FROM (
+    SELECT 1 FROM calibrated GROUP BY source_dataset, series_id, origin_month, horizon_months, model_name
+    HAVING count(*) > 1)
+  UNION ALL SELECT 'metric_key', count(*) FROM (
+    SELECT 1 FROM score_table GROUP BY source_dataset, series_id, split_name, horizon_months, model_name HAVING count(*) > 1)
+  UNION ALL SELECT 'bad_interval', count(*) FROM calibrated
+    WHERE interval_lower > interval_upper OR (interval_lower IS NULL) <> (interval_upper IS NULL)
+  UNION ALL SELECT 'bad_counts', count(*) FROM score_table WHERE scored_count > prediction_count
+    OR prediction_count > origin_count OR interval_scored_count > scored_count
+  UNION ALL SELECT 'selection_count', count(*) FROM (
+    SELECT 1 FROM score_table WHERE split_name = 'development' GROUP BY source_dataset, series_id, horizon_months
+    HAVING count(CASE WHEN is_selected THEN 1 END) <> 1)
+  UNION ALL SELECT 'summary_counts', CAST(0 AS BIGINT)
+""")
+
+# --- metadata and presentation ---------------------------------------------------------
+
+METRIC_ROWS = (
+    ("benchmark_index", "dynamics", "monthly_benchmark_dynamics", "benchmark_index"),
+    ("benchmark_monthly_change_percent", "dynamics", "monthly_benchmark_dynamics", "change_percent"),
+    ("named_partner_hhi", "concentration", "monthly_partner_concentration", "named_partner_hhi"),
+    ("named_partner_value_share", "shares", "monthly_partner_shares", "named_partner_value_share"),
+    ("observed_product_value_share", "metrics", "monthly_trade_product_metrics", "observed_product_value_share"),
+    ("observed_trade_unit_value_eur_per_kg", "metrics", "monthly_trade_product_metrics",
+     "observed_unit_value_eur_per_kg"),
+    ("reconciliation_residual_eur", "concentration", "monthly_partner_concentration", "reconciliation_residual_eur"),
+    ("trade_balance_eur", "balances", "monthly_trade_balances", "trade_balance_eur"),
+)
+oracle("metric_dictionary", "dynamics concentration shares metrics balances", "\nUNION ALL\n".join(
+    f"SELECT '{metric}' AS metric_name, '{table}' AS model_name, '{column}' AS metric_expression, "
+    f"count({column}) AS published_rows, count(*) AS table_rows FROM {fragment}"
+    for metric, fragment, table, column in METRIC_ROWS
+))
+cte("ranges", "dynamics", """
+  SELECT source_dataset, benchmark_series, min(month_key) AS first_period, max(month_key) AS latest_requested_period,
+         max(CASE WHEN price_usd_per_kg IS NOT NULL THEN month_key END) AS latest_observed_period,
+         count(price_usd_per_kg) AS observed_months
+  FROM dynamics GROUP BY ALL
+""")
+oracle("observed_ranges", "ranges", rounded("ranges"))
+oracle("partial_series", "ranges", """
+  SELECT * FROM ranges WHERE latest_observed_period IS NULL OR latest_observed_period < latest_requested_period
+""")
+oracle("price_rows", "dynamics", """
+  SELECT month_key, source_dataset, benchmark_series, price_usd_per_kg, source_capture_id FROM dynamics
+""")
+cte("mix_rows", "metrics", """
+  SELECT source_dataset, reporter_code, month_key, product_group, flow_name, world_value_eur, world_net_mass_kg,
+    observed_unit_value_eur_per_kg, observed_product_value_share, observed_value_product_count,
+    expected_product_count, has_complete_value_coverage, has_complete_product_mix_universe
+  FROM metrics WHERE observed_product_value_share IS NOT NULL
+""")
+oracle("product_mix_rows", "mix_rows", rounded("mix_rows"))
+oracle("mix_completeness", "mix_rows", """
+  SELECT source_dataset, reporter_code, count(*) AS mix_rows,
+         count(CASE WHEN NOT has_complete_product_mix_universe THEN 1 END) AS incomplete_mix_rows
+  FROM mix_rows GROUP BY ALL
+""")
+oracle("valid_balances", "balances", """
+  SELECT source_dataset, reporter_code, month_key, product_group, import_value_cif_eur, export_value_fob_eur,
+         has_compatible_flow_coverage, trade_balance_eur
+  FROM balances WHERE trade_balance_eur IS NOT NULL
+""")
+oracle("balance_validity", "balances", """
+  SELECT source_dataset, reporter_code, count(*) AS balance_rows, count(trade_balance_eur) AS valid_balance_rows
+  FROM balances GROUP BY ALL
+""")
+oracle("named_concentration", "concentration", """
+  SELECT source_dataset, reporter_code, month_key, product_group, flow_name, named_partner_count,
+    named_partner_value_eur, largest_named_partner_share, round(named_partner_hhi, 9) AS named_partner_hhi,
+    observed_special_value_eur, world_value_eur, reconciliation_residual_eur, reconciliation_status
+  FROM concentration WHERE named_partner_count > 0
+""")
+oracle("score_rows", "score_table", """
+  SELECT source_dataset, series_id, split_name, horizon_months, model_name, is_selected, origin_count,
+    prediction_count, scored_count, round(mae, 9) AS mae, round(rmse, 9) AS rmse,
+    round(smape_percent, 9) AS smape_percent, interval_scored_count,
+    round(interval_coverage, 9) AS interval_coverage, round(mean_interval_width, 9) AS mean_interval_width
+  FROM score_table
+""")
+oracle("run_identity", "targets", """
+  SELECT 'check' AS run_id, evaluation_mode,
+    min(CASE split_name WHEN 'holdout' THEN origin_month END) AS first_holdout_origin,
+    max(CASE split_name WHEN 'holdout' THEN origin_month END) AS last_holdout_origin,
+    min(CASE split_name WHEN 'holdout' THEN target_month END) AS first_holdout_target,
+    max(CASE split_name WHEN 'holdout' THEN target_month END) AS last_holdout_target
+  FROM targets WHERE split_name <> 'training' GROUP BY evaluation_mode
+""")

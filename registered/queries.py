@@ -7,13 +7,38 @@ doubles depends on the order of addition.  Quotients are compared as they are.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from monthwise import contracts
-from monthwise.plans import dims, facts, folds, forecast, marts, staging
+from monthwise.operators import quality
+from monthwise.operators.materialize import stored
+from monthwise.operators.registry import append_history, first_selected, merge_captures
+from monthwise.operators.scope import (
+    Scope,
+    in_scope,
+    replace_rows,
+    requested_pairs,
+    row_differences,
+    selection_gaps,
+    slice_scopes,
+    uncovered_months,
+)
+from monthwise.plans import (
+    checks,
+    coverage,
+    dims,
+    facts,
+    folds,
+    forecast,
+    marts,
+    presentation,
+    staging,
+)
+from monthwise.sources import cubes, wide_prices
 from monthwise.sources import driver_tables as source
 from monthwise.sources.driver_tables import FOLDS, PRICES, TRADE
 
@@ -229,3 +254,445 @@ def forecast_selection_gaps(spark, folder):
 @query("mae", "rmse", "smape_percent", "interval_coverage", "mean_interval_width")
 def forecast_metrics(spark, folder):
     return forecast.metrics_of(evaluated(spark, folder), "check")
+
+
+# --- ingest ----------------------------------------------------------------------------
+
+PRICE_MONTHS = (date(1995, 1, 1), date(2001, 8, 1))
+SHEET_MONTHS = (date(1995, 3, 1), date(2001, 6, 1))
+NOW = date(2002, 1, 15)
+
+
+@query()
+def wide_ingest(spark, folder):
+    """Long price rows parsed from wide text sheets."""
+    return wide_prices.parse_sheets(
+        source.wide_sheets(spark, folder), source.SHEET_CELLS, *SHEET_MONTHS, PRICES
+    )
+
+
+@query()
+def ingest_violations(spark, folder):
+    return wide_prices.sheet_violations(
+        source.broken_sheets(spark, folder), source.SHEET_CELLS, *SHEET_MONTHS, PRICES
+    )
+
+
+@query()
+def price_coverage(spark, folder):
+    return wide_prices.price_coverage(
+        source.monthly_prices(spark, folder), *PRICE_MONTHS, PRICES
+    )
+
+
+@query()
+def cube_decode(spark, folder):
+    """Cells decoded from JSON cube documents that were built from the cells."""
+    documents = source.cube_documents(spark, folder)
+    parsed = cubes.parse_documents(documents)
+    return cubes.decode_cells(parsed, "driver_trade", TRADE).drop("source_capture_id")
+
+
+@query()
+def cube_scope_violations(spark, folder):
+    """Documents against a request that lacks one month in nine and one flow in ten."""
+    documents = source.cube_documents(spark, folder)
+    month = F.substring_index("document_id", "-", -1).cast("int")
+    year = F.regexp_extract("document_id", r"-(\d{4})-", 1).cast("int")
+    step = year * 12 + month - 1
+    requests = (
+        source.cube_requests(documents.select("document_id"))
+        .where(F.pmod(step, F.lit(9)) != 0)
+        .withColumn(
+            "flows",
+            F.when(F.pmod(step, F.lit(10)) == 1, F.array(F.lit("1"))).otherwise(F.col("flows")),
+        )
+    )
+    return cubes.document_violations(cubes.parse_documents(documents, requests))
+
+
+@query()
+def cell_stats(spark, folder):
+    return coverage.slice_statistics(source.trade_cells(spark, folder))
+
+
+@query()
+def series_coverage(spark, folder):
+    return coverage.series_coverage(source.trade_cells(spark, folder), TRADE)
+
+
+@query()
+def key_conflicts(spark, folder):
+    return quality.key_conflicts(source.repeated_cells(spark, folder), contracts.TRADE_KEY)
+
+
+@query()
+def mixed_updates(spark, folder):
+    """One dataset holds two source update times after a partial replacement."""
+    cells = source.trade_cells(spark, folder)
+    revised = F.when(
+        F.col("period_month") >= F.lit(date(2000, 1, 1)), F.lit("2002-02-15T11:00:00+0000")
+    ).otherwise(F.col("source_update_time"))
+    return coverage.mixed_updates(cells.withColumn("source_update_time", revised))
+
+
+# --- revision --------------------------------------------------------------------------
+
+SCOPES = (
+    Scope(
+        date(1997, 1, 1), date(1997, 6, 1),
+        {"flow_code": ("1",), "reporter_code": ("RA", "RN")},
+    ),
+    Scope(
+        date(1999, 3, 1), date(1999, 4, 1),
+        {"product_code": ("Brand#3", "Brand#4", "Brand#12"), "reporter_code": ("RR",)},
+    ),
+)
+
+
+@query()
+def scope_replace(spark, folder):
+    """Cells after a later version replaced two scopes, withdrawals included."""
+    cells = stored(source.trade_cells(spark, folder))
+    return replace_rows(cells, source.revised_cells(cells), SCOPES)
+
+
+@query()
+def scope_untouched(spark, folder):
+    """Row counts and value sums outside the scopes, before and after a replacement."""
+    cells = stored(source.trade_cells(spark, folder))
+    after = replace_rows(cells, source.revised_cells(cells), SCOPES)
+
+    def outside(frame: DataFrame, label: str) -> DataFrame:
+        return frame.where(~in_scope(SCOPES)).agg(
+            F.lit(label).alias("version"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum("source_value").cast("decimal(38,4)").alias("value_sum"),
+        )
+
+    return outside(cells, "before").unionByName(outside(after, "after"))
+
+
+@query()
+def refresh_equal(spark, folder):
+    """Two steps of replacement against one rebuild: rows that differ, by side."""
+    cells = stored(source.trade_cells(spark, folder))
+    revised = source.revised_cells(cells)
+    stepwise = cells
+    for scope in SCOPES:
+        stepwise = replace_rows(stepwise, revised, [scope])
+    rebuilt = replace_rows(cells, revised, SCOPES)
+    different = row_differences(stepwise, rebuilt)
+    return quality.one_row(
+        different.agg(
+            F.count_if(F.col("surplus") > 0).alias("only_stepwise"),
+            F.count_if(F.col("surplus") < 0).alias("only_rebuilt"),
+        ),
+        rebuilt.agg(F.count(F.lit(1)).alias("rebuilt_rows")),
+    )
+
+
+@query()
+def restored_vintage(spark, folder):
+    """A replacement undone by pinning the earlier captures again: rows that still differ."""
+    cells = stored(source.trade_cells(spark, folder))
+    revised = stored(replace_rows(cells, source.revised_cells(cells), SCOPES))
+    back = replace_rows(revised, cells, SCOPES)
+    return quality.one_row(
+        row_differences(back, cells).agg(F.count(F.lit(1)).alias("rows_still_different")),
+        row_differences(revised, cells).agg(F.count(F.lit(1)).alias("rows_replaced")),
+    )
+
+
+def _slices(spark: SparkSession, folder: str) -> DataFrame:
+    """Captured slices: per reporter and year, the products and partners that occur."""
+    cells = source.shipped_amounts(spark, folder)
+    year = F.year("period_month")
+    return cells.groupBy("reporter_code", year.alias("y")).agg(
+        F.collect_set("product_code").alias("products"),
+        F.collect_set("partner_code").alias("partners"),
+    ).select(
+        F.concat_ws("-", "reporter_code", "y").alias("slice_id"),
+        "reporter_code",
+        F.make_date("y", F.lit(1), F.lit(1)).alias("start_month"),
+        F.make_date("y", F.lit(12), F.lit(1)).alias("end_month"),
+        "products",
+        "partners",
+    )
+
+
+@query()
+def selection_complete(spark, folder):
+    """(month, product) pairs a request asks for that its slices miss or cover twice."""
+    wanted = ("Brand#3", "Brand#4", "Brand#99")
+    bounds = (date(1997, 5, 1), date(1998, 2, 1))
+    slices = _slices(spark, folder).where(F.col("reporter_code") != "RN")
+    scoped = slice_scopes(slices, *bounds, wanted, ("1",))
+    return selection_gaps(scoped, requested_pairs(spark, *bounds, wanted))
+
+
+@query()
+def backfill_gaps(spark, folder):
+    """Months of a backfill run for which no price series has a row."""
+    months = source.monthly_prices(spark, folder).where(
+        (F.col("source_dataset") == "orders_O") & F.col("series_id").startswith("3-MEDIUM/")
+    )
+    ranges = months.select(
+        F.col("period_month").alias("start_month"), F.col("period_month").alias("end_month")
+    ).distinct()
+    return uncovered_months(date(1995, 1, 1), date(2001, 12, 1), ranges)
+
+
+# --- captures, lineage, freshness ------------------------------------------------------
+
+
+def _registry(spark: SparkSession, folder: str) -> DataFrame:
+    return merge_captures(None, source.capture_events(spark, folder))
+
+
+@query()
+def capture_registry(spark, folder):
+    return _registry(spark, folder)
+
+
+@query()
+def selection_history(spark, folder):
+    """Two selection runs over the capture events, the second with later years only."""
+    events = source.capture_events(spark, folder).select(
+        F.lit("prices").alias("dataset"),
+        "source_capture_id",
+        "retrieved_at_utc",
+        F.date_add(F.col("retrieved_at_utc").cast("date"), 3).cast("timestamp").alias(
+            "selected_at_utc"
+        ),
+    )
+    history = append_history(None, events, "run-1")
+    later = events.where(F.year("retrieved_at_utc") >= 1999)
+    return first_selected(append_history(history, later, "run-2"))
+
+
+@query()
+def capture_lineage(spark, folder):
+    """Captures of forecast inputs that the registry lacks (one year was never registered)."""
+    prices = price_facts(spark, folder)
+    registry = _registry(spark, folder).where(~F.col("source_capture_id").endswith("-1997"))
+    lags = [f"lag_{k}_capture_id" for k in FOLDS.lags]
+    return checks.capture_lineage(
+        [
+            (folds.origin_features(prices, FOLDS), lags),
+            (folds.targets(prices, FOLDS), ["target_capture_id"]),
+        ],
+        registry,
+    )
+
+
+@query()
+def provenance(spark, folder):
+    registry = _registry(spark, folder).where(~F.col("source_capture_id").endswith("-1997"))
+    return coverage.provenance({"prices": price_facts(spark, folder)}, registry)
+
+
+@query()
+def source_versions(spark, folder):
+    rows = coverage.provenance(
+        {"prices": price_facts(spark, folder)}, _registry(spark, folder)
+    )
+    return coverage.source_versions(rows)
+
+
+@query()
+def freshness_prices(spark, folder):
+    return coverage.price_freshness(source.monthly_prices(spark, folder), NOW)
+
+
+@query()
+def freshness_trade(spark, folder):
+    observed = coverage.series_coverage(source.trade_cells(spark, folder), TRADE)
+    return coverage.trade_freshness(
+        source.requested_universe(spark, folder), observed, NOW, TRADE
+    )
+
+
+# --- data quality ----------------------------------------------------------------------
+
+
+@query()
+def dq_not_null(spark, folder):
+    """Null counts of every column of the trade facts."""
+    frame = trade_facts(spark, folder)
+    return quality.null_counts(frame, frame.columns)
+
+
+@query()
+def dq_unique(spark, folder):
+    """Dimension and fact keys that repeat: product codes repeat without their year."""
+    return quality.repeated_keys(
+        products(spark, folder), ("product_code",)
+    ).unionByName(
+        quality.repeated_keys(products(spark, folder), ("trade_product_key",)).withColumnRenamed(
+            "trade_product_key", "product_code"
+        )
+    )
+
+
+@query()
+def dq_unique_observations(spark, folder):
+    """Natural keys of staged cells that repeat."""
+    return quality.repeated_keys(staged_trade(spark, folder), contracts.TRADE_KEY)
+
+
+@query()
+def dq_accepted(spark, folder):
+    """Status values outside a declared list, with their counts."""
+    return quality.unaccepted(staged_trade(spark, folder), "source_status", ("u", "p"))
+
+
+@query()
+def dq_relationships(spark, folder):
+    """Fact product keys without a dimension row."""
+    return quality.orphans(
+        trade_facts(spark, folder), "trade_product_key", products(spark, folder),
+        "trade_product_key",
+    )
+
+
+@query()
+def dq_staging_semantics(spark, folder):
+    return checks.staging_semantics(staged_trade(spark, folder), TRADE)
+
+
+@query()
+def dq_scope_break(spark, folder):
+    """Facts per segment of the broken product, and how many contradict their year."""
+    frame = trade_facts(spark, folder)
+    wrong = checks.scope_break_labels(frame, TRADE).select("trade_observation_key")
+    return wrong.agg(F.count(F.lit(1)).alias("violations"))
+
+
+@query()
+def dq_mapping_shape(spark, folder):
+    return checks.mapping_shape(source.product_mapping(spark, folder), 25, 1995, 2001)
+
+
+@query()
+def dq_preservation(spark, folder):
+    """Counts and sums before the pivot, after it and after the dimension joins."""
+    staged = stored(staged_trade(spark, folder))
+    facts_frame = facts.trade_observations(facts.paired_measures(staged, TRADE), TRADE)
+    return checks.fact_totals(
+        staged, facts_frame, products(spark, folder), dims.trade_partner(staged), TRADE
+    )
+
+
+def _marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    frame = stored(trade_facts(spark, folder))
+    return {
+        "fct_trade_observations": frame,
+        "monthly_partner_shares": marts.partner_shares(frame),
+        "monthly_trade_product_metrics": marts.product_metrics(
+            frame, products(spark, folder), TRADE
+        ),
+        "monthly_trade_balances": marts.trade_balances(frame, TRADE),
+        "monthly_partner_concentration": marts.partner_concentration(frame, TRADE),
+    }
+
+
+@query()
+def dq_metric_invariants(spark, folder):
+    return checks.metric_invariants(*_marts(spark, folder).values())
+
+
+@query()
+def dq_forecast_datasets(spark, folder):
+    prices = price_facts(spark, folder)
+    return checks.fold_invariants(
+        folds.series_manifest(prices, FOLDS),
+        folds.origin_features(prices, FOLDS),
+        folds.targets(prices, FOLDS),
+        FOLDS,
+    )
+
+
+@query()
+def dq_forecast_results(spark, folder):
+    rows = stored(evaluated(spark, folder))
+    return checks.result_invariants(
+        forecast.predictions_of(rows, "check", FOLDS), forecast.metrics_of(rows, "check"), FOLDS
+    )
+
+
+# --- metadata and presentation ---------------------------------------------------------
+
+
+@query()
+def metric_dictionary(spark, folder):
+    """Declared metrics with the rows that publish each of them."""
+    tables = _marts(spark, folder)
+    tables["monthly_benchmark_dynamics"] = marts.benchmark_dynamics(price_facts(spark, folder))
+    return contracts.metric_population(spark, tables).drop("metric_unit", "denominator", "coverage")
+
+
+@query()
+def observed_ranges(spark, folder):
+    return presentation.observed_ranges(
+        marts.benchmark_dynamics(price_facts(spark, folder)),
+        ("source_dataset", "benchmark_series"),
+    )
+
+
+@query()
+def partial_series(spark, folder):
+    return presentation.partial_series(
+        presentation.observed_ranges(
+            marts.benchmark_dynamics(price_facts(spark, folder)),
+            ("source_dataset", "benchmark_series"),
+        )
+    )
+
+
+@query()
+def price_rows(spark, folder):
+    return presentation.price_rows(marts.benchmark_dynamics(price_facts(spark, folder)))
+
+
+@query()
+def product_mix_rows(spark, folder):
+    return presentation.product_mix_rows(
+        marts.product_metrics(trade_facts(spark, folder), products(spark, folder), TRADE)
+    )
+
+
+@query()
+def mix_completeness(spark, folder):
+    return presentation.mix_completeness(
+        marts.product_metrics(trade_facts(spark, folder), products(spark, folder), TRADE)
+    )
+
+
+@query()
+def valid_balances(spark, folder):
+    return presentation.valid_balances(marts.trade_balances(trade_facts(spark, folder), TRADE))
+
+
+@query()
+def balance_validity(spark, folder):
+    return presentation.balance_validity(marts.trade_balances(trade_facts(spark, folder), TRADE))
+
+
+@query("named_partner_hhi")
+def named_concentration(spark, folder):
+    return presentation.named_concentration(
+        marts.partner_concentration(trade_facts(spark, folder), TRADE)
+    )
+
+
+@query("mae", "rmse", "smape_percent", "interval_coverage", "mean_interval_width")
+def score_rows(spark, folder):
+    return presentation.score_rows(forecast.metrics_of(evaluated(spark, folder), "check"))
+
+
+@query()
+def run_identity(spark, folder):
+    return presentation.run_identity(
+        forecast.predictions_of(evaluated(spark, folder), "check", FOLDS)
+    )
