@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from monthwise import contracts
 from monthwise.domain import TradeDomain
 from monthwise.functions.numbers import half_even_decimal
+from monthwise.operators.materialize import computed_once
 
 # The seven dimensions in document order.
 DIMENSIONS = ("freq", "reporter", "partner", "product", "flow", "indicators", "time")
@@ -105,27 +106,32 @@ def parse_documents(documents: DataFrame, requests: DataFrame | None = None) ->
     each document must have; without it only the document's own shape is checked.
     """
     content = F.col("content")
-    parsed = documents.select(
-        "document_id",
-        F.sha2(content, 256).alias("source_capture_id"),
-        F.from_json(content, _ENVELOPE).alias("d"),
-        _value_entries(content).alias("value_entries"),
-        content.rlike(_DENSE).alias("dense_values"),
-    ).withColumns(
+    read = computed_once(
+        documents.select("document_id", "content"),
+        {
+            "source_capture_id": F.sha2(content, 256),
+            "d": F.from_json(content, _ENVELOPE),
+            "value_entries": _value_entries(content),
+            "dense_values": content.rlike(_DENSE),
+        },
+    ).drop("content")
+    codes, contiguous = {}, []
+    for name in DIMENSIONS:
+        listing, fine = _codes_by_position(F.col("d.dimension")[name]["category"]["index"])
+        codes[name] = listing
+        contiguous.append(fine)
+    parsed = computed_once(
+        read,
         {
             "status_entries": _status_entries(F.col("d.status")),
             "dense_status": F.coalesce(F.col("d.status").startswith("["), F.lit(False)),
             "cell_count": F.aggregate(
                 F.col("d.size"), F.lit(1).cast("long"), lambda total, n: total * n
             ),
-        }
+            "codes": F.struct(*[c.alias(n) for n, c in codes.items()]),
+            "contiguous": reduce(lambda a, b: a & b, contiguous),
+        },
     )
-    codes, contiguous = {}, []
-    for name in DIMENSIONS:
-        listing, fine = _codes_by_position(F.col("d.dimension")[name]["category"]["index"])
-        codes[name] = listing
-        contiguous.append(fine)
-    parsed = parsed.withColumn("codes", F.struct(*[c.alias(n) for n, c in codes.items()]))
     sizes_match = reduce(
         lambda a, b: a & b,
         [
@@ -148,7 +154,7 @@ def parse_documents(documents: DataFrame, requests: DataFrame | None = None) ->
                 F.lit(False),
             )
         ),
-        "positions_not_contiguous": ~reduce(lambda a, b: a & b, contiguous),
+        "positions_not_contiguous": ~F.col("contiguous"),
         "size_mismatch": ~F.coalesce(sizes_match, F.lit(False)),
         "missing_partner_labels": F.coalesce(
             F.size(F.array_except(F.col("codes.partner"), F.map_keys(labels))) > 0, F.lit(True)
@@ -184,7 +190,7 @@ def parse_documents(documents: DataFrame, requests: DataFrame | None = None) ->
     problems = F.array_compact(
         F.array(*[F.when(F.coalesce(test, F.lit(True)), name) for name, test in rules.items()])
     )
-    return parsed.withColumn("problems", problems)
+    return computed_once(parsed, {"problems": problems})
 
 
 def document_violations(parsed: DataFrame) -> DataFrame:

@@ -372,13 +372,15 @@ def cube_documents(spark: SparkSession, folder: str) -> DataFrame:
         * 2
         + F.array_position(texts(flow_codes), F.col("flow_code")) - 1
     ) * 2 + F.array_position(texts(indicators), F.col("indicator_code")) - 1
-    key = place.cast("string")
+    place = place.cast("int")
+    number = F.struct(place.alias("at"), F.col("source_value_text").alias("text"))
+    mark = F.struct(place.cast("string"), "source_status")
     documents = cells.groupBy("reporter_code", "period_month", "status_available").agg(
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("source_value").isNotNull(), F.struct(key, "source_value")))
+        F.array_sort(
+            F.collect_list(F.when(F.col("source_value").isNotNull(), number))
         ).alias("values"),
         F.map_from_entries(
-            F.collect_list(F.when(F.col("source_status").isNotNull(), F.struct(key, "source_status")))
+            F.collect_list(F.when(F.col("source_status").isNotNull(), mark))
         ).alias("statuses"),
         F.max("source_update_time").alias("updated"),
     )
@@ -433,26 +435,27 @@ def cube_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(',"time":'), category(F.array(month)),
         F.lit("}"),
     )
-    dense = F.concat(
-        F.lit("["),
-        F.concat_ws(
-            ",",
-            F.transform(
-                F.sequence(F.lit(0), F.lit(total - 1)),
-                lambda n: F.coalesce(
-                    F.try_element_at("values", n.cast("string")).cast("string"), F.lit("null")
-                ),
-            ),
+    def gap(after: Column, before: Column) -> Column:
+        return F.repeat(F.lit("null,"), before - after - 1)
+
+    filled = F.transform(
+        "values",
+        lambda e, n: F.concat(
+            gap(F.coalesce(F.get("values", n - 1)["at"], F.lit(-1)), e["at"]), e["text"]
         ),
-        F.lit("]"),
+    )
+    last = F.try_element_at("values", F.lit(-1))["at"]
+    dense = F.concat(
+        F.lit("["), F.concat_ws(",", filled),
+        F.repeat(F.lit(",null"), F.lit(total - 1) - last), F.lit("]"),
     )
     sparse_values = F.concat(
         F.lit("{"),
         F.concat_ws(
             ",",
             F.transform(
-                F.map_entries("values"),
-                lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"].cast("string")),
+                "values",
+                lambda e: F.concat(F.lit('"'), e["at"].cast("string"), F.lit('":'), e["text"]),
             ),
         ),
         F.lit("}"),

@@ -26,7 +26,10 @@ def sql(needs: str, final: str) -> str:
     for name in needs.split():
         visit(name)
     parts = ",\n".join(f"{name} AS ({CTE[name][1].strip()})" for name in order)
-    return f"WITH {parts}\n{final.strip()}" if parts else final.strip()
+    final = final.strip()
+    if parts and final.startswith("WITH "):  # the statement brings fragments of its own
+        return f"WITH {parts},\n{final[5:]}"
+    return f"WITH {parts}\n{final}" if parts else final
 
 
 # --- sources ---------------------------------------------------------------------------

@@ -285,10 +285,16 @@ def price_coverage(spark, folder):
     )
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored documents; parsing costs far more than reading, so they are spread over all cores."""
+    documents = source.cube_documents(spark, folder)
+    return stored(documents.repartition(spark.sparkContext.defaultParallelism, "document_id"))
+
+
 @query()
 def cube_decode(spark, folder):
     """Cells decoded from JSON cube documents that were built from the cells."""
-    documents = source.cube_documents(spark, folder)
+    documents = _documents(spark, folder)
     parsed = cubes.parse_documents(documents)
     return cubes.decode_cells(parsed, "driver_trade", TRADE).drop("source_capture_id")
 
@@ -296,7 +302,7 @@ def cube_decode(spark, folder):
 @query()
 def cube_scope_violations(spark, folder):
     """Documents against a request that lacks one month in nine and one flow in ten."""
-    documents = source.cube_documents(spark, folder)
+    documents = _documents(spark, folder)
     month = F.substring_index("document_id", "-", -1).cast("int")
     year = F.regexp_extract("document_id", r"-(\d{4})-", 1).cast("int")
     step = year * 12 + month - 1
