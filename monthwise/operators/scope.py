@@ -34,17 +34,30 @@ def in_scope(scopes: Iterable[Scope] | None, month: str = "period_month") -> Col
     """
     if scopes is None:
         return F.lit(True)
-    tests = [
+    scopes = list(scopes)
+    if not scopes:
+        return F.lit(False)
+
+    def inside(scope: Scope) -> Column:
+        return F.col(month).between(F.lit(scope.start), F.lit(scope.end))
+
+    def either(tests: list[Column]) -> Column:
+        return reduce(lambda left, right: left | right, tests)
+
+    full = [
         reduce(
             lambda left, right: left & right,
             [F.col(c).isin(*codes) for c, codes in scope.keys.items()],
-            F.col(month).between(F.lit(scope.start), F.lit(scope.end)),
+            inside(scope),
         )
         for scope in scopes
     ]
-    if not tests:
-        return F.lit(False)
-    return F.coalesce(reduce(lambda left, right: left | right, tests), F.lit(False))
+    # The months stand alone as well, as a condition that partition pruning can use.
+    return (
+        F.col(month).isNotNull()
+        & either([inside(scope) for scope in scopes])
+        & F.coalesce(either(full), F.lit(False))
+    )
 
 
 def replace_rows(

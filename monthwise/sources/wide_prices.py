@@ -129,16 +129,7 @@ def header_violations(headers: DataFrame, domain: PriceDomain = PriceDomain()) -
     descriptions array, update_text).
     """
     labels = F.array(*[F.lit(label) for label, _ in domain.series_labels])
-    described = [
-        F.size(
-            F.filter(
-                F.coalesce("descriptions", F.array().cast("array<string>")),
-                lambda text, p=prefix: text.startswith(p),
-            )
-        )
-        == 1
-        for prefix, _ in domain.description_prefixes
-    ]
+    described = [_count_prefixed(prefix) == 1 for prefix, _ in domain.description_prefixes]
     units_ok = F.forall("units", lambda unit: unit.eqNullSafe(F.lit(domain.unit_label))) & (
         F.size("units") == len(domain.series_labels)
     )
@@ -152,6 +143,12 @@ def header_violations(headers: DataFrame, domain: PriceDomain = PriceDomain()) -
     return headers.select(*FILE, F.explode(F.array_compact(found)).alias("rule"))
 
 
+def _count_prefixed(prefix: str) -> Column:
+    """How many descriptions of a header start with a prefix."""
+    texts = F.coalesce("descriptions", F.array().cast("array<string>"))
+    return F.size(F.filter(texts, lambda text: text.startswith(prefix)))
+
+
 def _all(tests: list[Column]) -> Column:
     result = F.lit(True)
     for test in tests:
