@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from monthwise import contracts
 from monthwise.domain import CommodityRule, FoldPlan, PriceDomain, ScopeBreak, TradeDomain
 from monthwise.functions.months import first_of_month, month_index
+from monthwise.operators.sizing import broadcast_if_small
 
 TRADE = TradeDomain(
     aggregate_partners=("WORLD", "BLOC_3"),
@@ -63,25 +64,23 @@ def _number_after(text: Column, mark: str) -> Column:
 def shipped_amounts(spark: SparkSession, folder: str) -> DataFrame:
     """Amounts by reporter, partner, product, flow and month, with the two totals added.
 
-    Order lines are reduced to partner cells first; only those few cells are repeated
-    for the WORLD and bloc totals, so the lines are scanned and shuffled once.
+    Order lines are reduced to partner cells first, on narrow keys; names are looked up
+    afterwards.  Only the few cells are repeated for the WORLD and bloc totals, so the
+    lines are scanned and shuffled once.  Supplier and part grow with the lines: Spark
+    broadcasts them only where their size allows and otherwise splits hot keys (AQE).
     """
     lines = table(spark, folder, "lineitem")
-    nations = table(spark, folder, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    partners = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey").join(
-        nations, F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     products = table(spark, folder, "part").select("p_partkey", "p_brand")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name", "n_regionkey")
     cells = (
-        lines.join(partners, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(products, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(
-            F.concat(F.lit("R"), "l_returnflag").alias("reporter_code"),
-            "n_name",
-            "n_nationkey",
-            "n_regionkey",
-            F.col("p_brand").alias("product_code"),
-            F.when(F.col("l_linestatus") == "O", "1").otherwise("2").alias("flow_code"),
+            "l_returnflag",
+            "s_nationkey",
+            "p_brand",
+            "l_linestatus",
             first_of_month(F.col("l_shipdate")).alias("period_month"),
         )
         .agg(
@@ -89,27 +88,34 @@ def shipped_amounts(spark: SparkSession, folder: str) -> DataFrame:
             F.sum(F.col("l_quantity").cast("decimal(18,4)")).alias("quantity"),
         )
     )
-    itself = F.struct(F.col("n_name").alias("code"), F.col("n_nationkey").alias("no"))
-    total = F.struct(F.lit("WORLD").alias("code"), F.lit(TOTAL_NO).alias("no"))
-    bloc = F.struct(F.lit("BLOC_3").alias("code"), F.lit(BLOC_NO).alias("no"))
-    rows_for = F.when(
-        F.col("n_regionkey") == BLOC_REGION, F.array(itself, total, bloc)
-    ).otherwise(F.array(itself, total))
-    return (
-        cells.withColumn("p", F.explode(rows_for))
-        .groupBy(
-            "reporter_code",
-            F.col("p.code").alias("partner_code"),
-            F.col("p.no").alias("partner_no"),
-            "product_code",
-            "flow_code",
-            "period_month",
-        )
+    regions = broadcast_if_small(nations.drop("n_name"))
+    totals = F.when(
+        F.col("n_regionkey") == BLOC_REGION,
+        F.array(F.col("s_nationkey"), F.lit(TOTAL_NO), F.lit(BLOC_NO)),
+    ).otherwise(F.array(F.col("s_nationkey"), F.lit(TOTAL_NO)))
+    summed = (
+        cells.join(regions, F.col("s_nationkey") == F.col("n_nationkey"))
+        .withColumn("partner_no", F.explode(totals))
+        .groupBy("l_returnflag", "partner_no", "p_brand", "l_linestatus", "period_month")
         .agg(
             F.sum("amount").cast("decimal(24,4)").alias("amount"),
             F.sum("quantity").cast("decimal(24,4)").alias("quantity"),
         )
     )
+    names = broadcast_if_small(nations.select("n_nationkey", "n_name"))
+    return summed.join(names, F.col("partner_no") == F.col("n_nationkey"), "left").select(
+        F.concat(F.lit("R"), "l_returnflag").alias("reporter_code"),
+        F.when(F.col("partner_no") == TOTAL_NO, "WORLD")
+        .when(F.col("partner_no") == BLOC_NO, "BLOC_3")
+        .otherwise(F.col("n_name"))
+        .alias("partner_code"),
+        "partner_no",
+        F.col("p_brand").alias("product_code"),
+        F.when(F.col("l_linestatus") == "O", "1").otherwise("2").alias("flow_code"),
+        "period_month",
+        "amount",
+        "quantity",
+    )
 
 
 def trade_cells(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,11 +124,25 @@ def trade_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _as_cells(amounts: DataFrame) -> DataFrame:
-    month, partner = month_index(F.col("period_month")), F.col("partner_no")
-    brand = _number_after(F.col("product_code"), "#")
-    mask = F.pmod(
-        brand * 7 + partner * 13 + month * 5 + F.col("flow_code").cast("int") * 3, F.lit(23)
+    numbered = amounts.withColumns(
+        {
+            "brand": _number_after(F.col("product_code"), "#"),
+            "month": month_index(F.col("period_month")),
+            "year": F.year("period_month"),
+        }
+    )
+    masked = numbered.withColumn(
+        "mask",
+        F.pmod(
+            F.col("brand") * 7
+            + F.col("partner_no") * 13
+            + F.col("month") * 5
+            + F.col("flow_code").cast("int") * 3,
+            F.lit(23),
+        ),
     )
+    month, partner, brand = F.col("month"), F.col("partner_no"), F.col("brand")
+    mask, year = F.col("mask"), F.col("year")
     detail, world = partner < TOTAL_NO, partner == TOTAL_NO
     drop_world = world & (brand % 5 == 2) & (month % 5 == 0)
     hide_mass = (detail & (mask == 1)) | (world & (brand == 9) & (month % 3 == 0))
@@ -144,7 +164,6 @@ def _as_cells(amounts: DataFrame) -> DataFrame:
         .cast("decimal(24,4)")
     )
     with_status = month % 6 != 0
-    year = F.year("period_month")
     renamed = detail & (partner % 7 == 3) & (year >= 1999)
     label = (
         F.when(~detail, F.col("partner_code"))
@@ -161,17 +180,19 @@ def _as_cells(amounts: DataFrame) -> DataFrame:
         "VALUE_IN_EUROS", amount, F.when(with_status & detail & (mask == 2), F.lit("c"))
     )
     mass_cell = cell("QUANTITY_IN_100KG", quantity, F.when(with_status & hide_mass, F.lit("u")))
-    kept = F.when(
-        drop_world, F.array_except(F.array(value_cell), F.array(value_cell))
-    ).when(detail & (mask == 0), F.array(value_cell)).when(
-        detail & (mask == 5), F.array(mass_cell)
-    ).otherwise(F.array(value_cell, mass_cell))
-    rows = amounts.select(
+    both = F.array(value_cell.alias("v"), mass_cell.alias("q"))
+    present = F.when(drop_world, 0).when(detail & (mask == 0), 1).when(
+        detail & (mask == 5), 2
+    ).otherwise(3)
+    rows = masked.select(
         "reporter_code", "partner_code", "product_code", "flow_code", "period_month",
         label.alias("partner_label"),
         with_status.alias("status_available"),
         year.cast("smallint").alias("classification_year"),
-        F.explode(kept).alias("cell"),
+        present.alias("present"),
+        both.alias("both"),
+    ).select("*", F.posexplode("both").alias("place", "cell")).where(
+        F.col("present").bitwiseAND((F.col("place") + 1)) != 0
     )
     return rows.select(
         F.lit("driver_trade").alias("source_dataset"),
