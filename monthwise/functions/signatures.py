@@ -16,20 +16,20 @@ def code_list(present: Column, code: Column) -> Column:
     return F.nullif(joined, F.lit(""))
 
 
-def fingerprint(frame: DataFrame, label: str) -> DataFrame:
-    """One row (table_name, row_count, content_hash) that ignores row order.
+def content_measures(columns: list[str]) -> list[Column]:
+    """Aggregates row_count and content_hash over rows, whatever their order.
 
     Row hashes are added as wide decimals: a bigint sum would overflow under ANSI
     rules and an xor would cancel pairs of equal rows.
     """
-    columns = sorted(frame.columns)
-    return frame.agg(
-        F.lit(label).alias("table_name"),
+    row_hash = F.xxhash64(*[F.col(c) for c in sorted(columns)]).cast("decimal(38,0)")
+    total = F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(38,0)"))
+    return [
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(
-            F.sum(F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(38,0)")),
-            F.lit(0).cast("decimal(38,0)"),
-        )
-        .cast("string")
-        .alias("content_hash"),
-    )
+        total.cast("string").alias("content_hash"),
+    ]
+
+
+def fingerprint(frame: DataFrame, label: str) -> DataFrame:
+    """One row (table_name, row_count, content_hash) that ignores row order."""
+    return frame.agg(F.lit(label).alias("table_name"), *content_measures(frame.columns))

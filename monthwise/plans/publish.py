@@ -11,11 +11,11 @@ from collections.abc import Iterable, Mapping
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise import contracts
-from monthwise.functions.signatures import fingerprint
+from monthwise.functions.signatures import content_measures, fingerprint
 from monthwise.operators.scope import Scope, in_scope, replace_rows, touched_months
 from monthwise.session import checkpoint_folder
 
@@ -32,14 +32,24 @@ class PublicationError(RuntimeError):
 def write_verified(frame: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> dict:
     """Writes Parquet (zstd) to a new path, reads it back and compares schema and content.
 
-    Returns the fingerprint row of what is stored.  The frame is evaluated for the write
-    and once more for its fingerprint; store expensive inputs first.
+    The rows are measured while they are written, so the frame is evaluated once; only the
+    check reads the stored table again.  Returns the measures of what is stored.
     """
-    writer = frame.write.mode("errorifexists").option("compression", "zstd")
+    seen = Observation()
+    writer = (
+        frame.observe(seen, *content_measures(frame.columns))
+        .write.mode("errorifexists")
+        .option("compression", "zstd")
+    )
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    written = frame.sparkSession.read.schema(frame.schema).parquet(path).select(frame.columns)
-    expected = fingerprint(frame, path).first().asDict()
-    actual = fingerprint(written, path).first().asDict()
+    expected = seen.get
+    spark = frame.sparkSession
+    names = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    for field in frame.schema.fields:
+        if field.name not in partition_by and names.get(field.name) != field.dataType:
+            raise PublicationError(f"{path}: column {field.name} was not stored as declared")
+    written = spark.read.schema(frame.schema).parquet(path).select(frame.columns)
+    actual = written.agg(*content_measures(frame.columns)).first().asDict()
     if expected != actual:
         raise PublicationError(f"{path}: wrote {actual}, expected {expected}")
     return actual
