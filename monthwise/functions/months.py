@@ -55,4 +55,4 @@ def parse_update_label(text: Column) -> Column:
 
 def age_in_months(observed: Column, now: date) -> Column:
     """Calendar months between an observation and the evaluation date."""
-    return F.lit(index_of(now)) - month_index(observed)
+    return (F.lit(index_of(now)) - month_index(observed)).cast("long")
