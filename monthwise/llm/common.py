@@ -195,3 +195,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 def ensure_local_tmp() -> str:
     """A task's own folder for spilled queues; removed by the task that made it."""
     return tempfile.mkdtemp(prefix="queues-", dir=os.environ.get("TMPDIR"))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder that this package wrote."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from monthwise.llm import decontamination, language, mixing, quality, url_filter, warc
+from monthwise.llm import decontamination, jaccard, language, mixing, neighbours, quality, token_shards, url_filter, warc
 from monthwise.llm.common import new_path, remainder, table
 
 
@@ -14,6 +15,11 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return neighbours.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +42,13 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
 
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "shards")
+    token_shards.write_shards(table(spark, sf_dir, "documents"), folder)
+    rows = token_shards.read_shards(spark, folder)
+    return rows.select("slot", "shard", "offset", "doc_id", "part", "n_tokens", F.sha2("tokens", 256).alias("tokens_sha256"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     part = remainder("doc_id", 5)
@@ -43,11 +56,15 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(documents.withColumn("held_out", part == 0), model)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_source_mixing, op3_benchmark_decontamination, op4_warc_revisits, op5_language_id, op6_url_filter,
-        op9_quality_classifier,
+        op1_source_mixing, op2_nearest_neighbours, op3_benchmark_decontamination, op4_warc_revisits, op5_language_id,
+        op6_url_filter, op8_token_shards, op9_quality_classifier, op10_jaccard_join,
     )
 }
 

@@ -70,15 +70,13 @@ def _record(date: str) -> Column:
     )
 
 
-def write_archives(pages: DataFrame, folder: str, least_bytes: int = 1000, file_bytes: int = 32 << 20, date: str = "2026-01-01T00:00:00Z") -> None:
-    """Writes one record per row into files of about `file_bytes` before compression."""
-    headers = payload_headers(pages, least_bytes)
-    total = pages.agg(F.sum(F.octet_length("html") + 600)).first()[0] or 0
-    files = max(1, -(-total // file_bytes))
-    spread = headers.repartition(files, F.xxhash64("page_id", "payload_digest"))
+def write_archives(pages: DataFrame, folder: str, least_bytes: int = 1000, file_records: int = 5000, date: str = "2026-01-01T00:00:00Z") -> None:
+    """Writes one record per row, straight from the join by digest, into files of at most `file_records`."""
     (
-        spread.select(_record(date).alias("value"))
+        payload_headers(pages, least_bytes)
+        .select(_record(date).alias("value"))
         .write.option("lineSep", RECORD_END)
+        .option("maxRecordsPerFile", file_records)
         .option("compression", "gzip")
         .text(folder)
     )
