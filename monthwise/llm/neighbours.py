@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from monthwise.llm.common import stored
 
-HASHES, TABLES, PROBES, WIDTH = 5, 10, 180, 1.0
+HASHES, TABLES, PROBES, WIDTH = 5, 12, 220, 1.0
 BLOCK_QUERIES = 1024
 
 
