@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.llm import decontamination, jaccard, language, mixing, neighbours, quality, token_shards, url_filter, warc
+from monthwise.llm import decontamination, jaccard, language, mixing, neighbours, quality, suffix_dedup, token_shards, url_filter, warc
 from monthwise.llm.common import new_path, remainder, table
 
 
@@ -42,6 +42,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "shards")
     token_shards.write_shards(table(spark, sf_dir, "documents"), folder)
@@ -64,7 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_source_mixing, op2_nearest_neighbours, op3_benchmark_decontamination, op4_warc_revisits, op5_language_id,
-        op6_url_filter, op8_token_shards, op9_quality_classifier, op10_jaccard_join,
+        op6_url_filter, op7_suffix_dedup, op8_token_shards, op9_quality_classifier, op10_jaccard_join,
     )
 }
 
