@@ -29,20 +29,24 @@ from monthwise.llm.common import _LOWER, _SPACE, mix, pieces, text_bytes
 
 #: A passage leaks if at most this share of the item's bytes must be edited.
 EDIT_RATE = 0.2
-WALKS, TABLES, SAMPLES = 2, 3, 8
+WALKS, TABLES, SAMPLES = 3, 4, 10
 _NORMAL = np.where(_SPACE, 32, _LOWER).astype(np.uint8)
 _FILTER_BITS = 20
 
 
 def walk_bits(walk: int, steps: int) -> np.ndarray:
     """The random bits of a walk: whether step and byte move on (steps, 256)."""
-    return np.random.default_rng([31, walk]).integers(0, 2, (steps, 256)).astype(np.int64)
+    return np.random.default_rng([31, walk]).integers(0, 2, (steps, 256)).astype(np.uint8)
 
 
 def sampled_steps(walk: int, window: int) -> np.ndarray:
-    """The sampled steps of each table (TABLES, SAMPLES); the walk takes 1.5 steps for each byte of the window."""
-    r = np.random.default_rng([47, walk, window])
-    return np.sort(np.stack([r.choice(window * 3 // 2, SAMPLES, replace=False) for _ in range(TABLES)]), 1)
+    """The sampled steps of each table (TABLES, SAMPLES), one from each equal part of the walk.
+
+    The walk takes 1.5 steps for each byte of the window, so it nearly never leaves it.
+    """
+    steps, r = window * 3 // 2, np.random.default_rng([47, walk, window])
+    bounds = np.linspace(0, steps, SAMPLES + 1).astype(int)
+    return np.stack([r.integers(bounds[:-1], np.maximum(bounds[1:], bounds[:-1] + 1)) for _ in range(TABLES)])
 
 
 def walked(data: np.ndarray, starts: np.ndarray, walk: int, window: int) -> np.ndarray:
@@ -50,16 +54,19 @@ def walked(data: np.ndarray, starts: np.ndarray, walk: int, window: int) -> np.n
     steps = window * 3 // 2
     bits, chosen = walk_bits(walk, steps), sampled_steps(walk, window)
     out = np.zeros((TABLES, len(starts)), np.uint64)
-    at = starts.copy()
+    at = starts.astype(np.int32 if len(data) < 1 << 31 else np.int64)
+    byte, move = np.empty(len(starts), np.uint8), np.empty(len(starts), np.uint8)
     tables: list[list[int]] = [[] for _ in range(steps)]
     for t, own in enumerate(chosen):
         for j in own:
             tables[j].append(t)
     for j in range(int(chosen.max()) + 1):
-        byte = data[at]
+        np.take(data, at, out=byte, mode="clip")
         for t in tables[j]:
-            out[t] = out[t] * np.uint64(0x100000001B3) + byte
-        at += bits[j][byte]
+            out[t] *= np.uint64(0x100000001B3)
+            out[t] += byte
+        np.take(bits[j], byte, out=move, mode="clip")
+        at += move
     return np.stack([mix(out[t], 16 * walk + t) for t in range(TABLES)])
 
 
