@@ -37,6 +37,8 @@ WORDS, PERCENT = 5, 80
 FREQUENT, FREQUENT_BITS = 48, 24
 #: A leader's members are compared in groups of about this many.
 LEADER_ROWS = 1000
+#: Queries whose whole sets one verifying step holds.
+BLOCK_ROWS = 1000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -230,9 +232,10 @@ def divide_skip(lists: list[list[int]], need: int) -> list[tuple[int, int]]:
 
 def _queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of lists sorted by shingle, n, cid: for each class those it may link with that are larger, in other components."""
-    names = ["cid", "n", "others", "sizes"]
+    names = ["cid", "n", "shingle", "held", "others", "sizes"]
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
 
-    def runs() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def runs() -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         held: list[np.ndarray] = []
         for batch in batches:
             columns = [batch[c].to_numpy() for c in ("shingle", "n", "cid", "component")]
@@ -243,31 +246,34 @@ def _queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cuts = np.flatnonzero(columns[0][1:] != columns[0][:-1]) + 1
             bounds = [0, *cuts.tolist()]
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                yield columns[1][a:b], columns[2][a:b], columns[3][a:b]
+                yield int(columns[0][a]), columns[1][a:b], columns[2][a:b], columns[3][a:b]
             held = [c[bounds[-1] :] for c in columns]
         if held:
-            yield held[1], held[2], held[3]
+            yield int(held[0][0]), *held[1:]
 
-    out: list[list] = [[], [], [], []]
+    out: list[list] = [[] for _ in names]
     size = 0
-    for n, cid, component in runs():
+    for shingle, n, cid, component in runs():
         if len(n) < 2 or (component == component[0]).all():
             continue
         ends = np.searchsorted(n, n * 100 // PERCENT, "right")
+        ends = ends.tolist()
         for k in range(len(n) - 1):
-            for a in range(k + 1, int(ends[k]), 4096):
-                b = min(int(ends[k]), a + 4096)
+            for a in range(k + 1, ends[k], 4096):
+                b = min(ends[k], a + 4096)
                 other = component[a:b] != component[k]
                 if other.any():
                     out[0].append(cid[k])
                     out[1].append(n[k])
-                    out[2].append(cid[a:b][other].astype(np.int64).tobytes())
-                    out[3].append(n[a:b][other].astype(np.int32).tobytes())
+                    out[2].append(shingle)
+                    out[3].append(len(n))
+                    out[4].append(cid[a:b][other].astype(np.int64).tobytes())
+                    out[5].append(n[a:b][other].astype(np.int32).tobytes())
                     size += 12 * int(other.sum()) + 40
             if size > 4 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names)
-                out, size = [[], [], [], []], 0
-    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names)
+                out, size = [[] for _ in names], 0
+    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types, strict=True)], names)
 
 
 #: Sizes of the larger class, over that of the smaller, between which one count threshold holds.
@@ -292,21 +298,125 @@ def _occurrences(n: int, lists: list[tuple[np.ndarray, np.ndarray]]) -> Iterator
                     yield other
 
 
+_FOUND = "key long, cid long, others binary"
+
+
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of list parts sorted by the class they were sent to: pairs that reach the required count."""
+    """Of list parts sorted by the class they were sent to: that class and those that reach the required count with it.
+
+    `key` is the shingle of the longest list the class is in, so the queries of one group of copies mostly have one key.
+    """
     held: tuple[int, int] | None = None
+    longest = (0, 0)
     lists: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def answer(out: list[tuple]) -> None:
+        others = sorted(_occurrences(held[1], lists))
+        if others:
+            out.append((longest[1], held[0], np.array(others, np.int64).tobytes()))
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*out, strict=True) if out else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "cid", "others"])
+
     for batch in batches:
-        pairs: list[tuple[int, int]] = []
-        for cid, n, others, sizes in zip(*(batch[c].to_pylist() for c in ("cid", "n", "others", "sizes")), strict=True):
+        out: list[tuple] = []
+        for cid, n, shingle, length, others, sizes in zip(*(batch[c].to_pylist() for c in ("cid", "n", "shingle", "held", "others", "sizes")), strict=True):
             if held and held[0] != cid:
-                pairs += [(held[0], other) for other in _occurrences(held[1], lists)]
-                lists = []
-            held = (cid, n)
+                answer(out)
+                lists, longest = [], (0, 0)
+            held, longest = (cid, n), max(longest, (length, shingle))
             lists.append((np.frombuffer(others, np.int64), np.frombuffer(sizes, np.int32)))
-        yield _pairs(pairs)
+        yield rows(out)
     if held:
-        yield _pairs([(held[0], other) for other in _occurrences(held[1], lists)])
+        out = []
+        answer(out)
+        yield rows(out)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of search results sorted by key: blocks of up to BLOCK_ROWS queries, each with the classes they found, once."""
+
+    def whole(key: int, part: int, queries: list[int], found: list[bytes]) -> pa.RecordBatch:
+        others = np.setdiff1d(np.unique(np.frombuffer(b"".join(found), np.int64)), queries)
+        cids = np.concatenate([np.array(queries, np.int64), others])
+        n = len(cids)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, key)), pa.array(np.full(n, part, np.int32)), pa.array(cids), pa.array(np.arange(n) >= len(queries))],
+            ["leader", "part", "cid", "found"],
+        )
+
+    key, part, queries, found = None, 0, [], []
+    for batch in batches:
+        for k, cid, others in zip(*(batch[c].to_pylist() for c in ("key", "cid", "others")), strict=True):
+            if queries and (k != key or len(queries) >= BLOCK_ROWS):
+                yield whole(key, part, queries, found)
+                queries, found = [], []
+                part += 1
+            key = k
+            queries.append(cid)
+            found.append(others)
+    if queries:
+        yield whole(key, part, queries, found)
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of texts sorted by block, queries first: links between a block's queries and all its texts that join groups."""
+    block, ready = None, False
+    sets: list[np.ndarray] = []
+    cids: list[int] = []
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        pairs: list[tuple[int, int]] = []
+        columns = [batch[c].to_numpy(zero_copy_only=False) for c in ("leader", "part", "cid", "found", "h1", "h2")]
+
+        def against(cid: int, values: np.ndarray, pairs: list = pairs) -> None:
+            at = np.minimum(np.searchsorted(shingle, values), len(shingle) - 1)
+            at = at[shingle[at] == values]
+            n = held[at + 1] - held[at]
+            each = np.repeat(held[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            both = np.bincount(who[each], minlength=len(sets))
+            for q in np.flatnonzero(100 * both >= PERCENT * (sizes + len(values) - both)):
+                x, y = root(cids[q]), root(cid)
+                if x != y:
+                    parent[y] = x
+                    pairs.append((cids[q], cid))
+
+        for i, j, owner, values in _over_texts(batch["text"]):
+            _, g1, g2 = _digests(owner, values, j - i)
+            same = (g1 == columns[4][i:j]) & (g2 == columns[5][i:j])
+            first = np.searchsorted(owner, np.arange(j - i + 1)).tolist()
+            for k, (key, part, cid, found) in enumerate(zip(*(c[i:j].tolist() for c in columns[:4]), strict=True)):
+                if not same[k]:
+                    continue
+                if (key, part) != block:
+                    block, ready, sets, cids, parent = (key, part), False, [], [], {}
+                own = values[first[k] : first[k + 1]]
+                if not found:
+                    if cid not in parent:
+                        parent[cid] = cid
+                        sets.append(own.copy())
+                        cids.append(cid)
+                    ready = False
+                    continue
+                if not ready:
+                    sizes = np.array([len(x) for x in sets])
+                    merged = np.concatenate(sets)
+                    order = np.argsort(merged, kind="stable")
+                    who = np.repeat(np.arange(len(sets)), sizes)[order]
+                    shingle, held = np.unique(merged[order], return_index=True)
+                    held = np.append(held, len(merged))
+                    ready = True
+                    for q, mine in enumerate(list(sets)):
+                        against(cids[q], mine)
+                against(cid, own)
+        yield _pairs(pairs)
 
 
 def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -319,19 +429,22 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     leader, own = None, None
     for batch in batches:
         pairs = []
-        data, offsets = text_bytes(batch["text"])
-        for k, (key, part, cid, h1, h2) in enumerate(zip(*(batch[c].to_pylist() for c in ("leader", "part", "cid", "h1", "h2")), strict=True)):
-            text = data[offsets[k] : offsets[k + 1]]
-            owner, values = shingles(text, np.array([0, len(text)]))
-            _, g1, g2 = _digests(owner, values, 1)
-            if (int(g1[0]), int(g2[0])) != (h1, h2):
-                continue  # another text under the same id
-            if cid == key:
-                leader, own = (key, part), values
-            elif leader == (key, part):
-                both = len(np.intersect1d(own, values, assume_unique=True))
-                if 100 * both >= PERCENT * (len(own) + len(values) - both):
-                    pairs.append((key, cid))
+        names = ("leader", "part", "cid", "h1", "h2")
+        columns = [batch[c].to_numpy() for c in names]
+        for i, j, owner, values in _over_texts(batch["text"]):
+            _, g1, g2 = _digests(owner, values, j - i)
+            same = (g1 == columns[3][i:j]) & (g2 == columns[4][i:j])  # else another text under the same id
+            first = np.searchsorted(owner, np.arange(j - i + 1)).tolist()
+            for k, (key, part, cid) in enumerate(zip(*(c[i:j].tolist() for c in columns[:3]), strict=True)):
+                if not same[k]:
+                    continue
+                found = values[first[k] : first[k + 1]]
+                if cid == key:
+                    leader, own = (key, part), found.copy()
+                elif leader == (key, part) and PERCENT * max(len(own), len(found)) <= 100 * min(len(own), len(found)):
+                    both = int((own[np.minimum(np.searchsorted(own, found), len(own) - 1)] == found).sum())
+                    if 100 * both >= PERCENT * (len(own) + len(found) - both):
+                        pairs.append((key, cid))
         yield _pairs(pairs)
 
 
@@ -340,12 +453,19 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> Data
 
     Only texts that occur in a pair are moved, each next to its leader; leaders with many members are repeated.
     """
-    spark = documents.sparkSession
     pairs = stored(pairs.select("a", "b").distinct(), "pairs")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / LEADER_ROWS).cast("int").alias("parts"))
     members = pairs.join(parts, "a").select(F.col("a").alias("leader"), F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("cid"))
     leaders = parts.select(F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("cid"))
-    wanted = stored(members.union(leaders).join(classes.select("cid", "doc_id", "h1", "h2"), "cid").withColumn("id", F.xxhash64("doc_id")), "wanted")
+    rows = _with_texts(members.union(leaders), classes, documents)
+    placed = rows.repartition("leader", "part").sortWithinPartitions("leader", "part", F.col("cid") != F.col("leader"))
+    return placed.mapInArrow(_compared, "a long, b long").distinct()
+
+
+def _with_texts(places: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows of classes (cid) with their digests and a text; only texts that may be wanted are moved."""
+    spark = documents.sparkSession
+    wanted = stored(places.join(classes.select("cid", "doc_id", "h1", "h2"), "cid").withColumn("id", F.xxhash64("doc_id")), "wanted")
     bits = spark.sparkContext.broadcast(bit_set(wanted, F.col("id"), 23))
 
     def needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,9 +473,14 @@ def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> Data
             yield batch.filter(pa.array(in_bit_set(bits.value, batch["id"].to_numpy(), 23)))
 
     texts = documents.select(F.xxhash64("doc_id").alias("id"), F.col("doc_id").alias("own_id"), "text").mapInArrow(needed, "id long, own_id long, text string")
-    rows = wanted.join(texts, "id").where(F.col("doc_id").eqNullSafe(F.col("own_id"))).select("leader", "part", "cid", "h1", "h2", "text")
-    placed = rows.repartition("leader", "part").sortWithinPartitions("leader", "part", F.col("cid") != F.col("leader"))
-    return placed.mapInArrow(_compared, "a long, b long").distinct()
+    return wanted.join(texts, "id").where(F.col("doc_id").eqNullSafe(F.col("own_id"))).drop("id", "own_id", "doc_id")
+
+
+def verified_blocks(found: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links (a, b) that join what the search proposed: each text is moved once to a block of queries that found it."""
+    placed = found.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(_blocks, "leader long, part int, cid long, found boolean")
+    rows = _with_texts(placed, classes, documents)
+    return rows.repartition("leader", "part").sortWithinPartitions("leader", "part", "found").mapInArrow(_block_links, "a long, b long").distinct()
 
 
 def linked(documents: DataFrame) -> DataFrame:
@@ -372,12 +497,18 @@ def linked(documents: DataFrame) -> DataFrame:
     entries = entries.repartition("shingle").sortWithinPartitions("shingle", "n", "h1", "h2").mapInArrow(_shared_only, entries.schema)
     lists = stored(stored(entries, "entries").join(classes.select("n", "h1", "h2", "cid"), ["n", "h1", "h2"]).select("shingle", "n", "cid"), "lists")
 
-    # Each list proposes its members to a leader of about their size.
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(1.25)))
-    led = lists.groupBy("shingle", band.alias("band")).agg(F.min(F.struct("cid", "n")).alias("lead"), F.count("*").alias("held")).where("held > 1")
+    # Each list proposes its members to a leader of about their size: the member that shares most of what it indexes,
+    # as the text that the others were copied from does. Two divisions by size keep close sizes together.
+    shared = lists.groupBy("cid", "n").agg((F.count("*") / (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)).alias("share"))
+    lists_by_share = stored(lists.join(shared.select("cid", "share"), "cid"), "lists-by-share")
+    scale = F.log(F.col("n")) / F.log(F.lit(1.25))
+    bands = F.explode(F.array(F.struct(F.lit(0).alias("way"), F.floor(scale).alias("band")), F.struct(F.lit(1).alias("way"), F.floor(scale + 0.5).alias("band"))))
+    banded = lists_by_share.select("*", bands.alias("size")).select("shingle", "n", "cid", "share", "size.way", "size.band")
+    led = banded.groupBy("shingle", "way", "band").agg(F.max(F.struct("share", F.negative("cid").alias("low"), "n")).alias("lead"), F.count("*").alias("held")).where("held > 1")
+    led = led.select("shingle", "way", "band", F.negative("lead.low").alias("a"), F.col("lead.n").alias("n_a"))
     proposed = (
-        lists.withColumn("band", band).join(led, ["shingle", "band"]).where("cid <> lead.cid")
-        .groupBy(F.col("lead.cid").alias("a"), F.col("cid").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b")).count()
+        banded.join(led, ["shingle", "way", "band"]).where("cid <> a")
+        .groupBy("way", "a", F.col("cid").alias("b"), "n_a", F.col("n").alias("n_b")).count()
     )
     kept = lambda c: f"ceil({PERCENT} * {c} / 100)"
     least = F.expr(f"ceil({PERCENT} * (n_a + n_b) / {100 + PERCENT}) - greatest({kept('n_a')}, {kept('n_b')}) + 1")
@@ -385,9 +516,9 @@ def linked(documents: DataFrame) -> DataFrame:
     groups = components(near)
 
     grouped = lists.join(groups, lists["cid"] == groups["node"], "left").select("shingle", "n", "cid", F.coalesce("component", "cid").alias("component"))
-    asked = grouped.repartition("shingle").sortWithinPartitions("shingle", "n", "cid").mapInArrow(_queries, "cid long, n int, others binary, sizes binary")
-    found = asked.repartition("cid").sortWithinPartitions("cid").mapInArrow(_searched, "a long, b long")
-    links = near.union(verified(found, classes, documents))
+    asked = grouped.repartition("shingle").sortWithinPartitions("shingle", "n", "cid").mapInArrow(_queries, "cid long, n int, shingle long, held long, others binary, sizes binary")
+    found = asked.repartition("cid").sortWithinPartitions("cid").mapInArrow(_searched, _FOUND)
+    links = near.union(verified_blocks(found, classes, documents))
     final = components(links)
     labelled = classes.join(final, classes["cid"] == final["node"], "left").withColumn("group", F.coalesce("component", "cid"))
     smallest = labelled.groupBy("group").agg(F.min("doc_id").alias("component_id"))
