@@ -133,8 +133,9 @@ def _gradients(x: np.ndarray, mask: np.ndarray, y: np.ndarray, p: dict[str, np.n
     return g, loss
 
 
-def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, languages: int, epochs: int = 8, rows: int = 128, rate: float = 0.02) -> dict[str, np.ndarray]:
-    """Weights from windows (n, WINDOW) of bytes, by Adam over backpropagation through time."""
+def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, languages: int, epochs: int = 8, rows: int = 128, rate: float = 0.02, least_steps: int = 200) -> dict[str, np.ndarray]:
+    """Weights from windows (n, WINDOW) of bytes, by Adam over backpropagation through time; few windows are seen oftener."""
+    epochs = max(epochs, -(-least_steps // -(-len(windows) // rows)))
     r = np.random.default_rng(7)
     size = {"of": (HIDDEN, languages), "ob": (HIDDEN, languages), "bias": (languages,)}
     for way in "fb":
@@ -142,7 +143,7 @@ def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, language
     p = {k: (r.normal(size=s) * (0.3 if len(s) > 1 else 0)).astype(np.float32) for k, s in size.items()}
     m, v = ({k: np.zeros_like(w) for k, w in p.items()} for _ in range(2))
     step = 0
-    steps = epochs * max(1, len(windows) // rows)
+    steps = epochs * -(-len(windows) // rows)
     for _ in range(epochs):
         order = r.permutation(len(windows))
         for first in range(0, len(order), rows):

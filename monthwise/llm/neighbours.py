@@ -1,6 +1,7 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing with exact reranking.
 
-A table hashes a vector by HASHES functions floor((a . v + b) / width). For a query, each table's buckets are
+A table hashes a vector by HASHES functions floor(a . v / width + b); the width is WIDTH times the root mean
+square norm of all vectors. For a query, each table's buckets are
 visited in estimated success order: the query's distances to the bucket borders are sorted, and sets of border
 crossings come in the order of their expected squared distance. Candidates of all tables are merged and ranked by
 their distance in double precision. Queries go to the tasks in blocks of bounded size, each block against all
@@ -83,10 +84,10 @@ def _best(ids: np.ndarray, scores: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return ids[first], scores[first]
 
 
-def _scan(rows: DataFrame, queries: np.ndarray, keep: int, dimension: int, exact: bool) -> DataFrame:
+def _scan(rows: DataFrame, queries: np.ndarray, keep: int, dimension: int, width: float, exact: bool) -> DataFrame:
     """(query, vec_id, score): of every task and query, by its number, the `keep` nearest candidates."""
     f = functions(dimension)
-    shared = rows.sparkSession.sparkContext.broadcast((queries, None if exact else query_keys(queries, f, WIDTH, PROBES)))
+    shared = rows.sparkSession.sparkContext.broadcast((queries, None if exact else query_keys(queries, f, width, PROBES)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, probed = shared.value
@@ -111,7 +112,7 @@ def _scan(rows: DataFrame, queries: np.ndarray, keep: int, dimension: int, exact
                 chosen = np.ones((len(queries), len(vectors)), bool)
             else:
                 chosen = np.zeros((len(queries), len(vectors)), bool)
-                for table, keys in enumerate(row_keys(vectors, f, WIDTH)):
+                for table, keys in enumerate(row_keys(vectors, f, width)):
                     buckets, own = np.unique(keys, return_inverse=True)
                     at = np.minimum(np.searchsorted(buckets, probed[table]), len(buckets) - 1)
                     q, p = np.nonzero(buckets[at] == probed[table])
@@ -139,19 +140,22 @@ def _scan(rows: DataFrame, queries: np.ndarray, keep: int, dimension: int, exact
     return rows.select("vec_id", "vector").mapInArrow(run, "query long, vec_id long, score double")
 
 
-def usable(rows: DataFrame) -> tuple[DataFrame, int]:
-    """The (vec_id, vector) rows that take part, and their length."""
+def usable(rows: DataFrame) -> tuple[DataFrame, int, float]:
+    """The (vec_id, vector) rows that take part, their length, and the root of their mean squared norm."""
     fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & fine)
     most = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     dimension = most["d"] if most else 0
-    return rows.where(F.size("vector") == dimension), dimension
+    rows = rows.where(F.size("vector") == dimension)
+    squared = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    mean = rows.agg(F.avg(squared)).first()[0]
+    return rows, dimension, float(f"{np.sqrt(mean or 1.0):.6g}")
 
 
 def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of (vec_id, vector) that `is_query` marks, against all rows."""
     spark = embeddings.sparkSession
-    rows, dimension = usable(embeddings)
+    rows, dimension, norm = usable(embeddings)
     key = [F.xxhash64("vector").alias("k1"), F.hash("vector").alias("k2")]
     asked = stored(rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector")).select(F.col("vec_id").alias("query_id"), "vector", *key), "queries")
     distinct = stored(asked.groupBy("k1", "k2").agg(F.min("query_id").alias("first"), F.min("vector").alias("vector")), "query-vectors")
@@ -161,7 +165,7 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 10, block_queries:
 
     def answers(frame: DataFrame, exact: bool) -> DataFrame:
         got = frame.select("first", "vector").orderBy("first").collect()  # one block
-        found = _scan(rows, np.array([r["vector"] for r in got], np.float64).reshape(len(got), dimension), k + 1, dimension, exact)
+        found = _scan(rows, np.array([r["vector"] for r in got], np.float64).reshape(len(got), dimension), k + 1, dimension, WIDTH * norm, exact)
         names = spark.createDataFrame([(n, r["first"]) for n, r in enumerate(got)], "query long, first long")
         found = found.groupBy("query", "vec_id").agg(F.min("score").alias("score"))
         rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
