@@ -2,5 +2,5 @@
 
 Every public function takes DataFrames and returns a DataFrame.  Nothing runs
 until the caller asks for an action, except the few functions whose name says
-so (``write_*``, ``publish_*``, ``broadcast_if_small``).
+so (``write_*``, ``publish_*``).
 """

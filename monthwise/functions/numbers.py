@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 def half_even_decimal(text: Column, precision: int, scale: int, below: str) -> Column:
     """Text to decimal, ties to the even digit; null when not a finite number under ``below``."""
-    wide = text.try_cast("decimal(38,18)")
+    # The cast rounds past 18 digits, which must not happen twice: the 18th says whether anything is left beyond 17.
+    beyond = F.regexp_extract(text, r"\.\d{17}(\d+)", 1)
+    short = F.concat(F.regexp_extract(text, r"^\s*([+-]?\d*\.\d{17})", 1), F.when(beyond.rlike("[1-9]"), "1").otherwise("0"))
+    wide = F.when(text.rlike(r"^\s*[+-]?\d*\.\d{19,}\s*$"), short).otherwise(text).try_cast("decimal(38,18)")
     rounded = F.bround(wide, scale)
     limit = F.lit(below).cast("decimal(38,0)")
     return F.when(F.abs(rounded) < limit, rounded.try_cast(f"decimal({precision},{scale})"))

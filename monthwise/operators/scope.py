@@ -110,33 +110,37 @@ def slice_scopes(
     )
 
 
-def requested_pairs(spark, start: date, end: date, products: tuple[str, ...]) -> DataFrame:
-    """Every (month, product) a request asks for."""
+def requested_pairs(
+    spark, start: date, end: date, products: tuple[str, ...], reporters: tuple[str, ...], flows: tuple[str, ...]
+) -> DataFrame:
+    """Every (reporter, flow, month, product) a request asks for."""
+    listed = lambda codes: F.explode(F.array(*[F.lit(c) for c in codes]).cast("array<string>"))
     months = F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 month")))
-    codes = F.array(*[F.lit(p) for p in products]).cast("array<string>")
-    return spark.range(1).select(months.alias("period_month"), codes.alias("p")).select(
-        "period_month", F.explode("p").alias("product_code")
+    return (
+        spark.range(1)
+        .select(listed(reporters).alias("reporter_code"))
+        .select("reporter_code", listed(flows).alias("flow_code"))
+        .select("*", months.alias("period_month"))
+        .select("*", listed(products).alias("product_code"))
     )
 
 
 def selection_gaps(scoped: DataFrame, requested: DataFrame) -> DataFrame:
-    """(month, product) pairs that are missing, overlapping or unrequested.
+    """(reporter, flow, month, product) that are missing, overlapping or unrequested.
 
     ``scoped`` is the result of :func:`slice_scopes`.  Empty means the captured slices
     cover the request exactly once.
     """
+    key = ("reporter_code", "flow_code", "period_month", "product_code")
+    months = F.sequence("start_month", "end_month", F.expr("interval 1 month"))
     pairs = (
-        scoped.select(
-            F.explode(
-                F.sequence("start_month", "end_month", F.expr("interval 1 month"))
-            ).alias("period_month"),
-            "products",
-        )
-        .select("period_month", F.explode("products").alias("product_code"))
+        scoped.select("reporter_code", "products", "flows", F.explode(months).alias("period_month"))
+        .select("reporter_code", "products", "period_month", F.explode("flows").alias("flow_code"))
+        .select("reporter_code", "flow_code", "period_month", F.explode("products").alias("product_code"))
         .withColumn("side", F.lit("covered"))
         .unionByName(requested.withColumn("side", F.lit("requested")))
     )
-    counts = pairs.groupBy("period_month", "product_code").agg(
+    counts = pairs.groupBy(*key).agg(
         F.count_if(F.col("side") == "covered").alias("covering_slices"),
         F.count_if(F.col("side") == "requested").alias("requests"),
     )

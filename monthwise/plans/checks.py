@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from monthwise.domain import FoldPlan, TradeDomain
 from monthwise.functions.months import index_of, month_index
 from monthwise.operators.quality import one_row, stacked, tally
-from monthwise.operators.sizing import broadcast_if_small
 from monthwise.plans.folds import SERIES
 
 TOLERANCE = 1e-12
@@ -84,7 +83,7 @@ def fact_totals(
     in the same single pass that totals the facts.
     """
     def hits(dimension: DataFrame, key: str, name: str) -> DataFrame:
-        return broadcast_if_small(dimension.groupBy(key).agg(F.count(F.lit(1)).alias(name)))
+        return (dimension.groupBy(key).agg(F.count(F.lit(1)).alias(name)))
 
     joined = facts.join(
         hits(products, "trade_product_key", "products"), "trade_product_key", "left"
@@ -218,7 +217,7 @@ def capture_lineage(
             for frame, columns in used
         ]
     ).distinct()
-    known = broadcast_if_small(registry.select(F.col("source_capture_id").alias("capture_id")))
+    known = (registry.select(F.col("source_capture_id").alias("capture_id")))
     late = registry.where(
         F.col("first_seen_capture_at_utc") > F.col("retrieved_at_utc")
     ).select(F.col("source_capture_id").alias("capture_id"))

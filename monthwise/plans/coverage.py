@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from monthwise.domain import TradeDomain
 from monthwise.functions.months import age_in_months
-from monthwise.operators.sizing import broadcast_if_small
 
 SERIES_KEY = ("partner_code", "product_code", "flow_code")
 
@@ -163,7 +162,7 @@ def provenance(facts: dict[str, DataFrame], registry: DataFrame) -> DataFrame:
 
     Facts shrink to their few capture ids before the join.
     """
-    known = broadcast_if_small(
+    known = (
         registry.select(
             "source_capture_id", "source_update_text", "retrieved_at_utc",
             "first_seen_capture_at_utc",

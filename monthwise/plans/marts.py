@@ -15,7 +15,6 @@ from monthwise import contracts
 from monthwise.domain import TradeDomain
 from monthwise.functions.numbers import as_amount, ratio
 from monthwise.functions.signatures import code_list
-from monthwise.operators.sizing import broadcast_if_small
 from monthwise.plans.staging import by_flow
 
 PERIOD = ("source_dataset", "reporter_code", "month_key")
@@ -96,7 +95,7 @@ def product_metrics(
         .withColumn("classification_year", F.col("classification_year").cast("smallint"))
     )
     covered = grouped.join(
-        broadcast_if_small(expected), ["classification_year", "product_group"]
+        (expected), ["classification_year", "product_group"]
     )
 
     # After the join a partition holds at most one row per declared year and group.

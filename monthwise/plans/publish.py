@@ -7,7 +7,7 @@ manifests are tables too: readers pick a generation number and get exactly its t
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from monthwise import contracts
 from monthwise.functions.signatures import content_measures, fingerprint
+from monthwise.operators.quality import repeated_keys
 from monthwise.operators.scope import Scope, in_scope, replace_rows, touched_months
-from monthwise.session import checkpoint_folder
 
 MANIFEST = (
     "generation bigint, table_name string, row_count bigint, content_hash string, "
@@ -44,7 +44,9 @@ def write_verified(frame: DataFrame, path: str, partition_by: tuple[str, ...] =
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     expected = seen.get
     spark = frame.sparkSession
-    names = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+    # A table without rows may have no file to read a schema from.
+    stored_schema = spark.read.parquet(path).schema if expected["row_count"] else frame.schema
+    names = {f.name: f.dataType for f in stored_schema.fields}
     for field in frame.schema.fields:
         if field.name not in partition_by and names.get(field.name) != field.dataType:
             raise PublicationError(f"{path}: column {field.name} was not stored as declared")
@@ -93,11 +95,13 @@ def replace_in_table(
     scopes: Iterable[Scope],
     table: str,
     month: str = "period_month",
+    key: Sequence[str] = (),
 ) -> list[date]:
     """Replaces the scopes of a month-partitioned table in place; returns emptied months.
 
-    Only months inside a scope are read and rewritten.  They are staged and verified in
-    the shared folder first, so a failed build leaves the table as it was, and then
+    Only months inside a scope are read and rewritten.  The new months are written beside the table, on
+    its own file system, and compared with what was meant to be written; a failed build, a staged copy that
+    differs or cannot be read, or a repeated ``key`` raises and leaves the table as it was.  Then they
     overwrite their partitions.  A month that the new version withdrew completely has no
     partition in the staged data and is therefore emptied explicitly.
     """
@@ -107,15 +111,15 @@ def replace_in_table(
     current = spark.read.schema(contracts.schema(table)).parquet(path).select(columns)
     touched = current.where(F.col(month).isin(*months))
     result = replace_rows(touched, incoming.select(columns), scopes, month)
-    staged_path = f"{checkpoint_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
-    result.hint("rebalance", month).write.option("compression", "zstd").partitionBy(month).parquet(
-        staged_path
-    )
-    try:
-        staged = spark.read.schema(contracts.schema(table)).parquet(staged_path).select(columns)
-        left = {row[0] for row in staged.select(month).distinct().collect()}
-    except AnalysisException:
-        left = set()
+    staged_path = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    measures = write_verified(result.hint("rebalance", month), staged_path, (month,))
+    staged = spark.read.schema(contracts.schema(table)).parquet(staged_path).select(columns)
+    if key and not repeated_keys(staged, key).isEmpty():
+        raise PublicationError(f"{path}: the replacement repeats keys of {', '.join(key)}")
+    counts = {row[0]: row[1] for row in staged.groupBy(month).count().collect()}
+    if sum(counts.values()) != measures["row_count"]:
+        raise PublicationError(f"{path}: staged months hold {sum(counts.values())} of {measures['row_count']} rows")
+    left = set(counts)
     if left:
         (
             staged.hint("rebalance", month)
@@ -169,7 +173,9 @@ def generations(spark: SparkSession, root: str) -> DataFrame:
     """Manifest rows of all completed generations."""
     try:
         return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # only an absent manifest means that nothing was published
+            raise
         return spark.createDataFrame([], MANIFEST)
 
 

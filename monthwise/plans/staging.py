@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from monthwise import contracts
 from monthwise.domain import TradeDomain
 from monthwise.operators.scope import Scope, in_scope
-from monthwise.operators.sizing import broadcast_if_small
 
 
 def benchmark_prices(prices: DataFrame, scopes: Iterable[Scope] | None = None) -> DataFrame:
@@ -49,7 +48,7 @@ def by_flow(flow: Column, imports: str, exports: str, domain: TradeDomain) -> Co
 
 def with_product_group(cells: DataFrame, mapping: DataFrame) -> DataFrame:
     """Left join on code and year inside the validity interval; unmapped cells stay."""
-    spans = broadcast_if_small(
+    spans = (
         mapping.select(
             F.col("product_code").alias("mapped_code"),
             "product_group",

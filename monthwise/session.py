@@ -30,9 +30,11 @@ def local_session(cores: str = "8", memory: str = "8g", **extra: str) -> SparkSe
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Shared folder for cut lineage: the cluster's setting, else a folder of our own."""
+    """Shared folder for cut lineage: the cluster's setting; only a local master may do with a folder of our own."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and context.getCheckpointDir() is None and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="monthwise-"))
     return named or context.getCheckpointDir()

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from monthwise import contracts
 from monthwise.domain import CommodityRule, FoldPlan, PriceDomain, ScopeBreak, TradeDomain
 from monthwise.functions.months import first_of_month, month_index
-from monthwise.operators.sizing import broadcast_if_small
 
 TRADE = TradeDomain(
     aggregate_partners=("WORLD", "BLOC_3"),
@@ -88,7 +87,7 @@ def shipped_amounts(spark: SparkSession, folder: str) -> DataFrame:
             F.sum(F.col("l_quantity").cast("decimal(18,4)")).alias("quantity"),
         )
     )
-    regions = broadcast_if_small(nations.drop("n_name"))
+    regions = (nations.drop("n_name"))
     totals = F.when(
         F.col("n_regionkey") == BLOC_REGION,
         F.array(F.col("s_nationkey"), F.lit(TOTAL_NO), F.lit(BLOC_NO)),
@@ -102,7 +101,7 @@ def shipped_amounts(spark: SparkSession, folder: str) -> DataFrame:
             F.sum("quantity").cast("decimal(24,4)").alias("quantity"),
         )
     )
-    names = broadcast_if_small(nations.select("n_nationkey", "n_name"))
+    names = (nations.select("n_nationkey", "n_name"))
     return summed.join(names, F.col("partner_no") == F.col("n_nationkey"), "left").select(
         F.concat(F.lit("R"), "l_returnflag").alias("reporter_code"),
         F.when(F.col("partner_no") == TOTAL_NO, "WORLD")

@@ -681,17 +681,20 @@ oracle("restored_vintage", "replaced cells", """
     + (SELECT count(*) FROM (SELECT * FROM replaced EXCEPT ALL SELECT * FROM cells)) AS rows_replaced
 """)
 oracle("selection_complete", "amounts", """
-  WITH covering AS (
-    SELECT CAST(m AS DATE) AS period_month, c.product_code, count(*) AS n
-    FROM (SELECT DISTINCT reporter_code, product_code, year(period_month) AS y FROM amounts
-          WHERE reporter_code <> 'RN' AND product_code IN ('Brand#3', 'Brand#4')) c
+  WITH held AS (SELECT DISTINCT reporter_code, product_code, year(period_month) AS y FROM amounts
+                WHERE product_code IN ('Brand#3', 'Brand#4')),
+  covering AS (
+    SELECT c.reporter_code, CAST(m AS DATE) AS period_month, c.product_code, count(*) AS n
+    FROM (SELECT * FROM held UNION ALL SELECT * FROM held WHERE reporter_code = 'RN' AND y = 1998) c
     JOIN (SELECT unnest(generate_series(DATE '1997-05-01', DATE '1998-02-01', INTERVAL 1 MONTH)) AS m) t ON year(m) = c.y
     GROUP BY ALL)
-  SELECT CAST(m AS DATE) AS period_month, p AS product_code, coalesce(n, 0) AS covering_slices,
-         CAST(1 AS BIGINT) AS requests, CASE WHEN n IS NULL THEN 'missing' ELSE 'overlapping' END AS problem
+  SELECT r AS reporter_code, '1' AS flow_code, CAST(m AS DATE) AS period_month, p AS product_code,
+         coalesce(n, 0) AS covering_slices, CAST(1 AS BIGINT) AS requests,
+         CASE WHEN n IS NULL THEN 'missing' ELSE 'overlapping' END AS problem
   FROM (SELECT unnest(generate_series(DATE '1997-05-01', DATE '1998-02-01', INTERVAL 1 MONTH)) AS m)
   CROSS JOIN (VALUES ('Brand#3'), ('Brand#4'), ('Brand#99')) q(p)
-  LEFT JOIN covering ON covering.period_month = CAST(m AS DATE) AND covering.product_code = p
+  CROSS JOIN (VALUES ('RA'), ('RN'), ('RR')) s(r)
+  LEFT JOIN covering ON covering.period_month = CAST(m AS DATE) AND covering.product_code = p AND covering.reporter_code = r
   WHERE coalesce(n, 0) <> 1
 """)
 oracle("backfill_gaps", "prices", """

@@ -429,12 +429,13 @@ def _slices(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def selection_complete(spark, folder):
-    """(month, product) pairs a request asks for that its slices miss or cover twice."""
+    """What a request of all reporters asks for that its slices miss or cover twice; RN holds its 1998 slice twice."""
     wanted = ("Brand#3", "Brand#4", "Brand#99")
     bounds = (date(1997, 5, 1), date(1998, 2, 1))
-    slices = _slices(spark, folder).where(F.col("reporter_code") != "RN")
-    scoped = slice_scopes(slices, *bounds, wanted, ("1",))
-    return selection_gaps(scoped, requested_pairs(spark, *bounds, wanted))
+    slices = _slices(spark, folder)
+    again = slices.where("slice_id = 'RN-1998'").withColumn("slice_id", F.lit("RN-1998-again"))
+    scoped = slice_scopes(slices.unionByName(again), *bounds, wanted, ("1",))
+    return selection_gaps(scoped, requested_pairs(spark, *bounds, wanted, ("RA", "RN", "RR"), ("1",)))
 
 
 @query()

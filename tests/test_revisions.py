@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from monthwise import contracts
+from monthwise.functions.numbers import half_even_decimal
 from monthwise.functions.signatures import fingerprint
 from monthwise.operators import registry
 from monthwise.operators.scope import (
@@ -12,6 +13,7 @@ from monthwise.operators.scope import (
     slice_scopes, uncovered_months, vintage,
 )
 from monthwise.plans import checks, coverage, facts, marts, publish
+from monthwise.session import checkpoint_folder
 from tests.conftest import FIXTURE, as_dicts, cell_frame, fact_frame
 
 DEC = date(2021, 12, 1)
@@ -121,7 +123,7 @@ def test_selection_resolution(spark):
     assert set(rows) == {"a", "b"}
     assert rows["a"]["start_month"] == date(2021, 11, 1) and rows["a"]["products"] == list(products)
     assert rows["a"]["partners"] == ["BR", "WORLD"]
-    gaps = as_dicts(selection_gaps(scoped, requested_pairs(spark, *bounds, products)))
+    gaps = as_dicts(selection_gaps(scoped, requested_pairs(spark, *bounds, products, ("DE",), ("1",))))
     assert [(g["period_month"], g["product_code"], g["problem"]) for g in gaps] == [
         (date(2022, 1, 1), "18069090", "missing")
     ]
@@ -131,11 +133,67 @@ def test_selection_resolution(spark):
         for g in as_dicts(
             selection_gaps(
                 slice_scopes(overlapping, *bounds, ("09011100",), ("1",)),
-                requested_pairs(spark, *bounds, ("09011100",)),
+                requested_pairs(spark, *bounds, ("09011100",), ("DE",), ("1",)),
             )
         )
     }
     assert problems == {"overlapping"}
+    other = slices.withColumn("reporter_code", F.lit("FR")).withColumn("slice_id", F.concat(F.lit("f"), "slice_id"))
+    both = slice_scopes(slices.unionByName(other), *bounds, ("09011100",), ("1",))
+    assert selection_gaps(both, requested_pairs(spark, *bounds, ("09011100",), ("DE", "FR"), ("1",))).count() == 0
+
+
+def test_failed_replacement_leaves_the_table(spark, tmp_path, monkeypatch):
+    path, first = str(tmp_path / "kept"), cell_frame(spark, FIXTURE, "capture-a")
+    publish.write_month_table(first, path)
+    stored = lambda: spark.read.schema(first.schema).parquet(path).select(first.columns)
+    key = ("reporter_code", "partner_code", "product_code", "flow_code", "indicator_code", "period_month")
+    revised = cell_frame(spark, REVISED, "capture-b")
+    replace = lambda frame: publish.replace_in_table(spark, path, frame, [SCOPE], "monthly_trade", key=key)
+    with pytest.raises(publish.PublicationError):
+        replace(revised.unionByName(revised))
+    assert row_differences(stored(), first).count() == 0
+    whole = publish.write_verified
+
+    def nothing_staged(frame, target, partition_by=()):
+        measures = whole(frame.limit(0), target, partition_by)
+        return measures | {"row_count": 5}
+
+    def unreadable(frame, target, partition_by=()):
+        return {"row_count": 5}
+
+    for broken in (nothing_staged, unreadable):
+        monkeypatch.setattr(publish, "write_verified", broken)
+        with pytest.raises(Exception):  # noqa: B017, PT011
+            replace(revised)
+        assert row_differences(stored(), first).count() == 0
+    monkeypatch.setattr(publish, "write_verified", whole)
+    replace(revised)
+    assert row_differences(stored(), replace_rows(first, revised, [SCOPE])).count() == 0
+
+
+def test_long_fractions_round_once(spark):
+    texts = ["0.000000005000000000000000001", "0.000000005", "0.0000000050000000000000000000", "1.25", "-0.0000000150000000000000000009"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in frame.select(half_even_decimal(F.col("t"), 20, 8, "1000000000000")).collect()]
+    assert got == [Decimal(x) for x in ("1E-8", "0", "0", "1.25", "-2E-8")]
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        checkpoint_folder(Session())
 
 
 def test_backfill_ranges(spark):
