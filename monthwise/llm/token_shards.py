@@ -140,8 +140,10 @@ def write_shards(documents: DataFrame, folder: str, key: int = 1, vocabulary: st
             yield whole()
 
     placed = numbered.select((F.col("offset") + F.col("row")).alias("index"), "doc_id", "part", "tokens").mapInArrow(place, "shard long, blob binary")
-    wide = max(1, -(-count // (shard_sequences * 4)))
-    ranged = placed.repartitionByRange(wide, "shard").sortWithinPartitions("shard")
+    # Ranges of shards are known beforehand, so no pass over the rows has to sample their bounds.
+    each = 4
+    ranges = max(1, -(-count // (shard_sequences * each)))
+    ranged = placed.repartition(ranges, F.floor(F.col("shard") / each)).sortWithinPartitions("shard")
     # A shard is one value; the writer's line separator closes its last record.
     ranged.mapInArrow(assemble, "shard long, value binary").select("shard", F.col("value").cast("string")).write.option("lineSep", END.decode()).partitionBy("shard").text(f"{folder}/shards")
     remove(spark, path)
