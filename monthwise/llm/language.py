@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import lower, text_bytes
+from monthwise.llm.common import lower, stored, text_bytes
 
 WINDOW, HIDDEN = 64, 6
 PER_LANGUAGE, PER_DOCUMENT = 400, 4
@@ -183,8 +183,13 @@ Model = tuple[list[str], dict[str, np.ndarray]]
 def fit(documents: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model:
     """Learned languages and weights from documents for whose doc_id `learn` holds."""
     known = documents.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & learn & F.col("text").rlike(_LETTER))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").distinct().withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+    ids = stored(known.select("doc_id", "lang").distinct().withColumn("hash", F.xxhash64("doc_id")), "labelled")
+    # The smallest hashes of a language are about evenly spread, so those under four times the share that is wanted hold
+    # all of them; only these are ranked, however many documents the language has. One row a language is broadcast.
+    share = F.least(F.lit(1.0), 4.0 * per_language / F.col("count"))
+    low = ids.join(F.broadcast(ids.groupBy("lang").count()), "lang").where(F.col("hash") / F.lit(2.0**64) + 0.5 <= share)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
+    chosen = low.select("doc_id", "lang", "hash").withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang")
     rows = sorted(
         (r["lang"], r["window"])
         for r in documents.select("doc_id", "lang", "text").where(F.col("text").rlike(_LETTER)).join(F.broadcast(chosen), ["doc_id", "lang"])
