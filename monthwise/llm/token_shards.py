@@ -35,6 +35,11 @@ SEQUENCE_TOKENS, SHARD_SEQUENCES = 256, 8192
 NO_ID = -(1 << 63)
 END = b"\n\n"
 _ROUNDS = 6
+#: Records that a task holds before it packs them, so that a blob stays long enough to compress among many shards.
+HELD_BYTES = 64 << 20
+#: Shards that one key of the shuffle stands for.
+RANGE_SHARDS = 4
+_ZSTD_LEVEL = 6
 
 
 def permuted(index: np.ndarray, count: int, key: int) -> np.ndarray:
@@ -89,7 +94,7 @@ def write_shards(documents: DataFrame, folder: str, key: int = 1, vocabulary: st
     """Writes `folder`/shards/shard=K/ with one file each, and `folder`/manifest with what a reader must know."""
     spark = documents.sparkSession
     path = new_path(spark, "sequences")
-    sequences(documents, vocabulary, sequence_tokens).write.option("compression", "zstd").parquet(path)
+    sequences(documents, vocabulary, sequence_tokens).write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", _ZSTD_LEVEL).parquet(path)
     table = spark.read.parquet(path)
     files = table.select(F.col("_metadata.file_name").alias("file")).groupBy("file").count()
     offset = F.sum("count").over(Window.orderBy("file")) - F.col("count")
@@ -98,8 +103,21 @@ def write_shards(documents: DataFrame, folder: str, key: int = 1, vocabulary: st
     numbered = table.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).join(F.broadcast(files), "file")
     kind = record_type(sequence_tokens)
 
+    range_slots = RANGE_SHARDS * shard_sequences
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=_ZSTD_LEVEL)
+        held, size = [], 0
+
+        def packed() -> pa.RecordBatch:
+            slots, out = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(slots)
+            slots = slots[order]
+            ranges, first = np.unique(slots // range_slots, return_index=True)
+            bounds = [*first.tolist(), len(slots)]
+            blobs = [pack.compress(slots[a:b].tobytes() + out[order[a:b]].tobytes()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(ranges, pa.int64()), pa.array(blobs, pa.binary())], ["range", "blob"])
+
         for batch in batches:
             slots = permuted(batch["index"].to_numpy(), count, key)
             out = np.zeros(len(slots), kind)
@@ -109,41 +127,44 @@ def write_shards(documents: DataFrame, folder: str, key: int = 1, vocabulary: st
                 found = np.frombuffer(tokens.as_buffer(), np.uint16)
                 out["n"][k] = len(found)
                 out["tokens"][k, : len(found)] = found
-            order = np.argsort(slots)
-            slots, out = slots[order], out[order]
-            shards, first = np.unique(slots // shard_sequences, return_index=True)
-            bounds = [*first.tolist(), len(slots)]
-            blobs = [pack.compress((slots[a:b]).tobytes() + out[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(blobs, pa.binary())], ["shard", "blob"])
+            held.append((slots, out))
+            size += out.nbytes
+            if size >= HELD_BYTES:
+                yield packed()
+                held, size = [], 0
+        if held:
+            yield packed()
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, held, current = zstandard.ZstdDecompressor(), [], None
 
-        def whole() -> pa.RecordBatch:
+        def whole() -> Iterator[pa.RecordBatch]:
             slots = np.concatenate([s for s, _ in held])
-            out = np.concatenate([r for _, r in held])[np.argsort(slots)]
-            want = min(shard_sequences, count - current * shard_sequences)
-            if len(out) != want or slots.min() != current * shard_sequences:
-                raise ValueError(f"shard {current} has {len(out)} of {want} sequences")
-            return pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([out.tobytes()[: -len(END)]], pa.binary())], ["shard", "value"])
+            order = np.argsort(slots)
+            records = np.concatenate([r for _, r in held])
+            start = current * range_slots
+            want = min(range_slots, count - start)
+            if not np.array_equal(slots[order], np.arange(start, start + want)):
+                raise ValueError(f"slots from {start} have {len(slots)} of {want} sequences")
+            for a in range(0, want, shard_sequences):
+                value = records[order[a : a + shard_sequences]].tobytes()[: -len(END)]
+                yield pa.RecordBatch.from_arrays([pa.array([(start + a) // shard_sequences], pa.int64()), pa.array([value], pa.binary())], ["shard", "value"])
 
         for batch in batches:
-            for shard, blob in zip(batch["shard"].to_pylist(), batch["blob"], strict=True):
-                if held and shard != current:
-                    yield whole()
+            for at, blob in zip(batch["range"].to_pylist(), batch["blob"], strict=True):
+                if held and at != current:
+                    yield from whole()
                     held = []
-                current = shard
+                current = at
                 data = unpack.decompress(blob.as_buffer())
                 n = len(data) // (8 + kind.itemsize)
                 held.append((np.frombuffer(data, np.int64, n), np.frombuffer(data, kind, n, 8 * n)))
         if held:
-            yield whole()
+            yield from whole()
 
-    placed = numbered.select((F.col("offset") + F.col("row")).alias("index"), "doc_id", "part", "tokens").mapInArrow(place, "shard long, blob binary")
+    placed = numbered.select((F.col("offset") + F.col("row")).alias("index"), "doc_id", "part", "tokens").mapInArrow(place, "range long, blob binary")
     # Ranges of shards are known beforehand, so no pass over the rows has to sample their bounds.
-    each = 4
-    ranges = max(1, -(-count // (shard_sequences * each)))
-    ranged = placed.repartition(ranges, F.floor(F.col("shard") / each)).sortWithinPartitions("shard")
+    ranged = placed.repartition(max(1, -(-count // range_slots)), "range").sortWithinPartitions("range")
     # A shard is one value; the writer's line separator closes its last record.
     ranged.mapInArrow(assemble, "shard long, value binary").select("shard", F.col("value").cast("string")).write.option("lineSep", END.decode()).partitionBy("shard").text(f"{folder}/shards")
     remove(spark, path)
