@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -152,21 +152,24 @@ def selection_gaps(scoped: DataFrame, requested: DataFrame) -> DataFrame:
     return counts.withColumn("problem", problem).where(F.col("problem").isNotNull())
 
 
-def uncovered_months(run_start: date, run_end: date, ranges: DataFrame) -> DataFrame:
-    """Months of a backfill run that no source range (start_month, end_month) covers."""
-    months = ranges.sparkSession.range(1).select(
+def uncovered_months(run_start: date, run_end: date, ranges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Months of a backfill run that no source range (start_month, end_month) covers, for each value of ``by``."""
+    sources = ranges.select(*by).distinct() if by else ranges.sparkSession.range(1)
+    months = sources.select(
+        *by,
         F.explode(
             F.sequence(F.lit(run_start), F.lit(run_end), F.expr("interval 1 month"))
         ).alias("period_month")
     )
     bounded = ranges.select(
+        *by,
         F.greatest("start_month", F.lit(run_start)).alias("a"),
         F.least("end_month", F.lit(run_end)).alias("b"),
     ).where(F.col("a") <= F.col("b"))
     covered = bounded.select(
-        F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("period_month")
+        *by, F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("period_month")
     ).distinct()
-    return months.join(covered, "period_month", "left_anti")
+    return months.join(covered, [*by, "period_month"], "left_anti")
 
 
 def clip_ranges(ranges: DataFrame, run_start: date, run_end: date) -> DataFrame:

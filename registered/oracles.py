@@ -7,6 +7,8 @@ distinct aggregates) over speed, so that it checks the rewritten Spark forms.
 
 from __future__ import annotations
 
+from monthwise.contracts import METRICS
+
 CTE: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
@@ -697,12 +699,23 @@ oracle("selection_complete", "amounts", """
   LEFT JOIN covering ON covering.period_month = CAST(m AS DATE) AND covering.product_code = p AND covering.reporter_code = r
   WHERE coalesce(n, 0) <> 1
 """)
-oracle("backfill_gaps", "prices", """
-  SELECT CAST(m AS DATE) AS period_month
-  FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS m)
-  WHERE NOT EXISTS (SELECT 1 FROM prices WHERE source_dataset = 'orders_O' AND starts_with(series_id, '3-MEDIUM/')
-                    AND period_month = CAST(m AS DATE))
+cte("price_ranges", "prices", """
+  SELECT source_dataset, series_id, min(period_month) AS start_month, max(period_month) AS end_month
+  FROM prices GROUP BY source_dataset, series_id, year(period_month)
+""")
+oracle("backfill_gaps", "price_ranges", """
+  SELECT s.source_dataset, s.series_id, CAST(m AS DATE) AS period_month
+  FROM (SELECT DISTINCT source_dataset, series_id FROM price_ranges) s
+  CROSS JOIN (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH)) AS m)
+  WHERE NOT EXISTS (SELECT 1 FROM price_ranges r WHERE r.source_dataset = s.source_dataset
+                    AND r.series_id = s.series_id AND CAST(m AS DATE) BETWEEN r.start_month AND r.end_month)
+""")
+oracle("backfill_ranges", "price_ranges", """
+  SELECT source_dataset, series_id, greatest(start_month, DATE '1996-03-01') AS start_month,
+         least(end_month, DATE '2000-10-01') AS end_month
+  FROM price_ranges WHERE end_month >= DATE '1996-03-01' AND start_month <= DATE '2000-10-01'
 """)
+oracle("table_replace", "replaced", rounded("replaced"))
 
 # --- captures --------------------------------------------------------------------------
 
@@ -726,6 +739,11 @@ oracle("selection_history", "events_seen", """
     count(*) + count(CASE WHEN year(last_day + INTERVAL 1 DAY) >= 1999 THEN 1 END) AS selection_count
   FROM events_seen GROUP BY source_capture_id
 """)
+oracle("latest_selection", "events_seen", """
+  SELECT CASE WHEN late THEN 'after-1998' ELSE 'until-1998' END AS run_id, CAST(CASE WHEN late AND early THEN 1 ELSE 0 END AS BIGINT) AS sequence
+  FROM (SELECT bool_or(year(last_day + INTERVAL 1 DAY) > 1998) AS late,
+               bool_or(year(last_day + INTERVAL 1 DAY) <= 1998) AS early FROM events_seen)
+""")
 oracle("capture_lineage", "features targets", """
   SELECT DISTINCT capture_id FROM (
     SELECT unnest([lag_0_capture_id, lag_1_capture_id, lag_3_capture_id, lag_12_capture_id]) AS capture_id FROM features
@@ -795,6 +813,10 @@ oracle("dq_unique_observations", "staged", """
          period_month, count(*) AS row_count
   FROM staged GROUP BY ALL HAVING count(*) > 1
 """)
+oracle("dq_unique_prices", "prices", """
+  SELECT source_dataset, series_id, period_month, CAST(2 AS BIGINT) AS row_count FROM prices
+  WHERE month(period_month) = 6
+""")
 oracle("dq_accepted", "staged", """
   SELECT 'source_status' AS column_name, source_status AS value, count(*) AS violations
   FROM staged WHERE source_status NOT IN ('u', 'p') GROUP BY ALL
@@ -903,9 +925,20 @@ METRIC_ROWS = (
     ("reconciliation_residual_eur", "concentration", "monthly_partner_concentration", "reconciliation_residual_eur"),
     ("trade_balance_eur", "balances", "monthly_trade_balances", "trade_balance_eur"),
 )
+
+
+def metric_texts(metric: str) -> str:
+    """Published unit, denominator and coverage of a metric: fixed texts that the contract holds."""
+    [texts] = [row[3:] for row in METRICS if row[0] == metric]
+    return ", ".join(
+        "'" + text.replace("'", "''") + f"' AS {name}"
+        for text, name in zip(texts, ("metric_unit", "denominator", "coverage"), strict=True)
+    )
+
+
 oracle("metric_dictionary", "dynamics concentration shares metrics balances", "\nUNION ALL\n".join(
     f"SELECT '{metric}' AS metric_name, '{table}' AS model_name, '{column}' AS metric_expression, "
-    f"count({column}) AS published_rows, count(*) AS table_rows FROM {fragment}"
+    f"{metric_texts(metric)}, count({column}) AS published_rows, count(*) AS table_rows FROM {fragment}"
     for metric, fragment, table, column in METRIC_ROWS
 ))
 cte("ranges", "dynamics", """

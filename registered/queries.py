@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,10 @@ from pyspark.sql.types import TimestampType
 from monthwise import contracts
 from monthwise.operators import quality
 from monthwise.operators.materialize import stored
-from monthwise.operators.registry import append_history, first_selected, merge_captures
+from monthwise.operators.registry import append_history, first_selected, latest_run, merge_captures
 from monthwise.operators.scope import (
     Scope,
+    clip_ranges,
     in_scope,
     replace_rows,
     requested_pairs,
@@ -36,8 +38,10 @@ from monthwise.plans import (
     forecast,
     marts,
     presentation,
+    publish,
     staging,
 )
+from monthwise.session import checkpoint_folder
 from monthwise.sources import cubes, wide_prices
 from monthwise.sources import driver_tables as source
 from monthwise.sources.driver_tables import FOLDS, PRICES, TRADE
@@ -286,9 +290,9 @@ def price_coverage(spark, folder):
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored documents; parsing costs far more than reading, so they are spread over all cores."""
+    """Stored documents, in partitions of even size."""
     documents = source.cube_documents(spark, folder)
-    return stored(documents.repartition(spark.sparkContext.defaultParallelism, "document_id"))
+    return stored(documents.hint("rebalance"))
 
 
 @query()
@@ -438,16 +442,41 @@ def selection_complete(spark, folder):
     return selection_gaps(scoped, requested_pairs(spark, *bounds, wanted, ("RA", "RN", "RR"), ("1",)))
 
 
+def _price_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """First and last month of each price series in each year."""
+    return (
+        source.monthly_prices(spark, folder)
+        .groupBy("source_dataset", "series_id", F.year("period_month").alias("y"))
+        .agg(F.min("period_month").alias("start_month"), F.max("period_month").alias("end_month"))
+        .drop("y")
+    )
+
+
 @query()
 def backfill_gaps(spark, folder):
-    """Months of a backfill run for which no price series has a row."""
-    months = source.monthly_prices(spark, folder).where(
-        (F.col("source_dataset") == "orders_O") & F.col("series_id").startswith("3-MEDIUM/")
+    """Months of a backfill run that no range of a price series covers, for every series."""
+    return uncovered_months(
+        date(1995, 1, 1), date(2001, 12, 1), _price_ranges(spark, folder), ("source_dataset", "series_id")
+    )
+
+
+@query()
+def backfill_ranges(spark, folder):
+    """Ranges of all price series, cut to a backfill run."""
+    return clip_ranges(_price_ranges(spark, folder), date(1996, 3, 1), date(2000, 10, 1))
+
+
+@query()
+def table_replace(spark, folder):
+    """A month table written, two scopes replaced in place, and read back; keys must stay unique."""
+    path = f"{checkpoint_folder(spark)}/cells-{uuid4().hex}"
+    cells = stored(source.trade_cells(spark, folder))
+    publish.write_month_table(cells, path)
+    publish.replace_in_table(
+        spark, path, source.revised_cells(cells), SCOPES, "monthly_trade", key=contracts.TRADE_KEY
     )
-    ranges = months.select(
-        F.col("period_month").alias("start_month"), F.col("period_month").alias("end_month")
-    ).distinct()
-    return uncovered_months(date(1995, 1, 1), date(2001, 12, 1), ranges)
+    schema = contracts.schema("monthly_trade")
+    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
 
 
 # --- captures, lineage, freshness ------------------------------------------------------
@@ -478,6 +507,20 @@ def selection_history(spark, folder):
     return first_selected(append_history(history, later, "run-2"))
 
 
+@query()
+def latest_selection(spark, folder):
+    """Newest of two selection runs, which split the captures by the year of their retrieval."""
+    events = source.capture_events(spark, folder).select(
+        F.lit("prices").alias("dataset"),
+        "source_capture_id",
+        "retrieved_at_utc",
+        F.col("retrieved_at_utc").alias("selected_at_utc"),
+    )
+    year = F.year("retrieved_at_utc")
+    first = append_history(None, events.where(year <= 1998), "until-1998")
+    return latest_run(append_history(first, events.where(year > 1998), "after-1998"))
+
+
 @query()
 def capture_lineage(spark, folder):
     """Captures of forecast inputs that the registry lacks (one year was never registered)."""
@@ -548,6 +591,14 @@ def dq_unique_observations(spark, folder):
     return quality.repeated_keys(staged_trade(spark, folder), contracts.TRADE_KEY)
 
 
+@query()
+def dq_unique_prices(spark, folder):
+    """Natural keys of prices that repeat: every June is planted twice."""
+    prices = source.monthly_prices(spark, folder)
+    again = prices.where(F.month("period_month") == 6)
+    return quality.repeated_keys(prices.unionByName(again), contracts.PRICE_KEY)
+
+
 @query()
 def dq_accepted(spark, folder):
     """Status values outside a declared list, with their counts."""
@@ -636,7 +687,7 @@ def metric_dictionary(spark, folder):
     """Declared metrics with the rows that publish each of them."""
     tables = _marts(spark, folder)
     tables["monthly_benchmark_dynamics"] = marts.benchmark_dynamics(price_facts(spark, folder))
-    return contracts.metric_population(spark, tables).drop("metric_unit", "denominator", "coverage")
+    return contracts.metric_population(spark, tables)
 
 
 @query()
