@@ -283,17 +283,16 @@ _BANDS = (1.0, 1.03, 1.07, 1.12, 1.18, 1.2501)
 def _occurrences(n: int, lists: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[int]:
     """Ids that share enough of the lists with a class of size n."""
     for low, high in zip(_BANDS[:-1], _BANDS[1:], strict=True):
-        own, top = [], 0
+        own, known = [], {}
         for ids, sizes in lists:
             use = (sizes >= low * n) & (sizes < high * n)
             if use.any():
                 own.append(np.sort(ids[use]).tolist())
-                top = max(top, int(sizes[use].max()))
+                known |= dict(zip(ids[use].tolist(), sizes[use].tolist(), strict=True))
         if own:
-            known = {}
-            for ids, sizes in lists:
-                known |= dict(zip(ids.tolist(), sizes.tolist(), strict=True)) if len(own) >= least_shared(n, top) else {}
-            for other, count in divide_skip(own, int(least_shared(n, top))):
+            # Roundings make the bound rise with the size in places, so the largest size does not give the least.
+            least = least_shared(n, np.unique(np.fromiter(known.values(), np.int64)))
+            for other, count in divide_skip(own, int(least.min())):
                 if count >= least_shared(n, known[other]):
                     yield other
 

@@ -255,6 +255,41 @@ def test_divide_skip_counts_like_a_dictionary():
         assert sorted(jaccard.divide_skip(lists, need)) == [(v, c) for v, c in counts.items() if c >= need]
 
 
+def found_by_search(sets):
+    """(smaller, larger) numbers of the sets, in order of size, that the search proposes."""
+    sizes = [len(x) for x in sets]
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    who, values = jaccard._indexed(owner, np.concatenate([np.sort(np.array(list(x), np.uint64)) for x in sets]), None)
+    out = set()
+    for a, n in enumerate(sizes):
+        lists = []
+        for v in values[who == a]:
+            ids = np.array([b for b in who[values == v] if b > a and 100 * n >= 80 * sizes[b]], np.int64)
+            if len(ids):
+                lists.append((ids, np.array([sizes[b] for b in ids], np.int32)))
+        out |= {(a, b) for b in jaccard._occurrences(n, lists)}
+    return out
+
+
+def test_jaccard_search_keeps_sizes_with_a_lower_bound_than_the_largest():
+    shared = set(range(100, 138))
+    a, b = shared | {1, 2, 3}, shared | set(range(10, 16))
+    c = set(sorted(a)[4:5]) | set(range(1000, 1044))
+    assert [len(x) for x in (a, b, c)] == [41, 44, 45]
+    assert (0, 1) in found_by_search([a, b, c])
+    r = np.random.default_rng(17)
+    for _ in range(40):
+        base = r.choice(10_000, 60, replace=False) + 5000
+        sets = []
+        for _ in range(30):
+            own, kept = int(r.integers(0, 7)), int(r.integers(24, 45))
+            first = base[:kept]
+            sets.append(set(first.tolist()) | set((r.choice(5000, own, replace=False)).tolist()))  # own ones ordered first
+        sets = sorted({frozenset(x) for x in sets}, key=lambda x: (len(x), sorted(x)))
+        want = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+        assert want <= found_by_search(sets)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, 100 + k) for k in range(1, 40)] + [(7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
