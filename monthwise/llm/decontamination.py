@@ -2,10 +2,12 @@
 
 A CGK walk turns a window of bytes into a longer string whose Hamming distance reflects the edit distance of the
 windows: at each step it copies the current byte and a random bit, fixed by step and byte, says whether to go on.
-Windows are sized by the length class [2^k, 2^(k+1)) of an item: 2^k / 2 bytes at every multiple of that length
-of a text, against every shift of every item, so at least one window of an unedited passage is aligned exactly
-and longer items offer several. A table samples a few steps of the walk; walks and tables are repeated to reach
-the target recall. Candidates meet the whole item in an exact search for its best match around the place.
+Windows are short beside an item and overlap: those of a text begin at every multiple of a stride, those of an item at
+every byte, so that some window of an edited passage meets few edits. A table samples a few steps of the walk. The
+sizes, by length of the item, are those of PLANS, which reach RECALL for passages edited by all of EDIT_RATE; the
+test measures it against brute force. Of long items two windows of a text must meet the item at places that edits
+within the rate can explain. Candidates go through bit-parallel edit distances of many places at once, which lose
+nothing, and then meet the whole item in an exact search for its best match around the place.
 
 The benchmark goes to the tasks in blocks of at most `block_bytes` of text; each block is one pass.
 
@@ -29,9 +31,31 @@ from monthwise.llm.common import _LOWER, _SPACE, mix, pieces, text_bytes
 
 #: A passage leaks if at most this share of the item's bytes must be edited.
 EDIT_RATE = 0.2
-WALKS, TABLES, SAMPLES = 3, 4, 10
+#: The share of passages at EDIT_RATE that is to be found, for every length class from 16 bytes on.
+RECALL = 0.95
+WALKS = 3
+
+
+@dataclass(frozen=True)
+class Plan:
+    """How items of `least` bytes or more are sought; text windows begin at multiples of `stride`."""
+
+    least: int
+    window: int
+    stride: int
+    tables: int
+    samples: int
+    hits: int
+
+
+PLANS = (
+    Plan(16, 8, 1, 2, 6, 1), Plan(24, 12, 2, 2, 6, 1), Plan(32, 16, 2, 3, 7, 1),
+    Plan(64, 24, 4, 4, 8, 1), Plan(96, 24, 4, 4, 8, 2), Plan(128, 24, 8, 4, 10, 2),
+)
 _NORMAL = np.where(_SPACE, 32, _LOWER).astype(np.uint8)
 _FILTER_BITS = 20
+#: Hits expanded, and places compared, at once.
+_HITS, _PLACES = 1 << 22, 4096
 
 
 def walk_bits(walk: int, steps: int) -> np.ndarray:
@@ -39,35 +63,37 @@ def walk_bits(walk: int, steps: int) -> np.ndarray:
     return np.random.default_rng([31, walk]).integers(0, 2, (steps, 256)).astype(np.uint8)
 
 
-def sampled_steps(walk: int, window: int) -> np.ndarray:
-    """The sampled steps of each table (TABLES, SAMPLES), one from each equal part of the walk.
+def sampled_steps(walk: int, plan: Plan) -> np.ndarray:
+    """The sampled steps of each table (tables, samples), one from each equal part of the walk.
 
     The walk takes 1.5 steps for each byte of the window, so it nearly never leaves it.
     """
-    steps, r = window * 3 // 2, np.random.default_rng([47, walk, window])
-    bounds = np.linspace(0, steps, SAMPLES + 1).astype(int)
-    return np.stack([r.integers(bounds[:-1], np.maximum(bounds[1:], bounds[:-1] + 1)) for _ in range(TABLES)])
+    steps, r = plan.window * 3 // 2, np.random.default_rng([47, walk, plan.window, plan.samples])
+    bounds = np.linspace(0, steps, plan.samples + 1).astype(int)
+    return np.stack([r.integers(bounds[:-1], np.maximum(bounds[1:], bounds[:-1] + 1)) for _ in range(plan.tables)])
 
 
-def walked(data: np.ndarray, starts: np.ndarray, walk: int, window: int) -> np.ndarray:
-    """Table keys (TABLES, n) of the windows that begin at `starts`; `data` is padded by at least 1.5 windows."""
-    steps = window * 3 // 2
-    bits, chosen = walk_bits(walk, steps), sampled_steps(walk, window)
-    out = np.zeros((TABLES, len(starts)), np.uint64)
+def walked(data: np.ndarray, starts: np.ndarray, walk: int, plans: list[Plan]) -> list[np.ndarray]:
+    """Table keys (tables, n) for each plan of one window size; `data` is padded by at least 1.5 windows."""
+    steps = plans[0].window * 3 // 2
+    bits, chosen = walk_bits(walk, steps), [row for plan in plans for row in sampled_steps(walk, plan)]
+    out = np.zeros((len(chosen), len(starts)), np.uint64)
     at = starts.astype(np.int32 if len(data) < 1 << 31 else np.int64)
     byte, move = np.empty(len(starts), np.uint8), np.empty(len(starts), np.uint8)
     tables: list[list[int]] = [[] for _ in range(steps)]
     for t, own in enumerate(chosen):
         for j in own:
             tables[j].append(t)
-    for j in range(int(chosen.max()) + 1):
+    for j in range(max(int(own.max()) for own in chosen) + 1):
         np.take(data, at, out=byte, mode="clip")
         for t in tables[j]:
             out[t] *= np.uint64(0x100000001B3)
             out[t] += byte
         np.take(bits[j], byte, out=move, mode="clip")
         at += move
-    return np.stack([mix(out[t], 16 * walk + t) for t in range(TABLES)])
+    salts = [16 * walk + t for plan in plans for t in range(plan.tables)]
+    keys = np.stack([mix(row, salt) for row, salt in zip(out, salts, strict=True)])
+    return np.split(keys, np.cumsum([plan.tables for plan in plans])[:-1])
 
 
 @dataclass
@@ -75,10 +101,15 @@ class Item:
     item_id: int | None
     text: bytes
     peq: dict[int, int]
+    hits: int = 1
+
+
+def _sought(plan: Plan) -> tuple[int, ...]:
+    return plan.window, plan.stride, plan.tables, plan.samples
 
 
 class Index:
-    """Keys of all shifts of the items, by window length, walk and table."""
+    """Keys of all shifts of the items, by window size, plan, walk and table."""
 
     def __init__(self, items: list[tuple[int | None, bytes]]):
         self.items, self.short, by = [], [], {}
@@ -90,10 +121,16 @@ class Index:
             if len(text) < 16:
                 self.short.append(len(self.items) - 1)
             else:
-                by.setdefault(1 << (len(text).bit_length() - 2), []).append(len(self.items) - 1)
-        self.tables: dict[tuple[int, int], list[tuple[np.ndarray, ...]]] = {}
-        self.windows = sorted(by)
-        for window, members in by.items():
+                plan = [p for p in PLANS if p.least <= len(text)][-1]
+                self.items[-1].hits = plan.hits
+                by.setdefault(_sought(plan), (plan, []))[1].append(len(self.items) - 1)
+        self.lengths = np.array([len(x.text) for x in self.items], np.int64)
+        self.hits = np.array([x.hits for x in self.items], np.int64)
+        self.windows: dict[int, list[Plan]] = {}
+        self.tables: dict[tuple[Plan, int], list[tuple[np.ndarray, ...]]] = {}
+        for plan, members in by.values():
+            window = plan.window
+            self.windows.setdefault(window, []).append(plan)
             data = np.concatenate([np.concatenate([np.frombuffer(self.items[m].text, np.uint8), np.zeros(2 * window, np.uint8)]) for m in members])
             base = np.cumsum([0, *(len(self.items[m].text) + 2 * window for m in members)])[:-1]
             shifts = [np.arange(len(self.items[m].text) - window + 1) for m in members]
@@ -101,12 +138,12 @@ class Index:
             who, shift = np.repeat(members, [len(s) for s in shifts]), np.concatenate(shifts)
             for walk in range(WALKS):
                 got = []
-                for key in walked(data, starts, walk, window):
+                for key in walked(data, starts, walk, [plan])[0]:
                     order = np.argsort(key, kind="stable")
                     seen = np.zeros(1 << _FILTER_BITS, bool)
                     seen[(key >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
                     got.append((seen, key[order], who[order], shift[order]))
-                self.tables[window, walk] = got
+                self.tables[plan, walk] = got
 
 
 def best_match(item: Item, text: bytes) -> tuple[int, int]:
@@ -132,32 +169,119 @@ def best_match(item: Item, text: bytes) -> tuple[int, int]:
     return best, end
 
 
-def _found(index: Index, data: np.ndarray, offsets: np.ndarray, rate: float) -> list[tuple[int, int, int, int]]:
-    """(text number, item number, distance, end byte) of the best match of every item that leaks into a text."""
-    places: dict[tuple[int, int], set[int]] = {}
-    for window in index.windows:
-        lengths = np.diff(offsets)
-        counts = np.maximum(0, (lengths - window) // window + 1)
+def may_match(index: Index, data: np.ndarray, first: np.ndarray, last: np.ndarray, numbers: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether each item comes within `most` edits of a substring of data[first:last], many places at a time.
+
+    Bit-parallel in words of 64 bytes; a place may be read past its end, so some without a match stay.
+    """
+    out = np.zeros(len(first), bool)
+    words = (index.lengths[numbers] + 63) // 64
+    order = np.lexsort((last - first, words))
+    cuts = np.flatnonzero(np.diff(words[order])) + 1
+    one = np.uint64(1)
+    for group in np.split(order, cuts):
+        for at in range(0, len(group), _PLACES):
+            own = group[at : at + _PLACES]
+            count = int(words[own[0]])
+            used, which = np.unique(numbers[own], return_inverse=True)
+            peq = np.zeros((count, len(used), 256), np.uint64)
+            for u, number in enumerate(used.tolist()):
+                for c, bits in index.items[number].peq.items():
+                    for w in range(count):
+                        peq[w, u, c] = bits >> 64 * w & (1 << 64) - 1
+            peq = peq.reshape(count, -1)
+            row = which.astype(np.int64) * 256
+            score = index.lengths[numbers[own]].copy()
+            top = ((score - 1) % 64).astype(np.uint64)
+            best = score.copy()
+            pv = [np.full(len(own), (1 << 64) - 1, np.uint64) for _ in range(count)]
+            mv = [np.zeros(len(own), np.uint64) for _ in range(count)]
+            begin = first[own]
+            for step in range(int((last[own] - begin).max())):
+                symbol = row + data[np.minimum(begin + step, len(data) - 1)]
+                up = down = np.zeros(len(own), np.uint64)
+                for w in range(count):
+                    eq = peq[w][symbol]
+                    xv = eq | mv[w]
+                    eq |= down
+                    xh = (((eq & pv[w]) + pv[w]) ^ pv[w]) | eq
+                    ph = mv[w] | ~(xh | pv[w])
+                    mh = pv[w] & xh
+                    if w == count - 1:
+                        score += (ph >> top & one).astype(np.int64) - (mh >> top & one).astype(np.int64)
+                    next_up, next_down = ph >> np.uint64(63), mh >> np.uint64(63)
+                    ph = ph << one | up
+                    pv[w] = mh << one | down | ~(xv | ph)
+                    mv[w] = ph & xv
+                    up, down = next_up, next_down
+                np.minimum(best, score, out=best)
+            out[own] = best <= most[own]
+    return out
+
+
+def _places(index: Index, data: np.ndarray, offsets: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, item number, place where the item would begin) of all candidates, places in steps of 8 bytes."""
+    lengths, found = np.diff(offsets), [np.zeros((4, 0), np.int64)]
+    for window, plans in index.windows.items():
+        stride = min(plan.stride for plan in plans)
+        counts = np.maximum(0, (lengths - window) // stride + 1)
         owner = np.repeat(np.arange(len(lengths)), counts)
-        within = (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * window
+        within = (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
         padded = np.concatenate([data, np.zeros(2 * window, np.uint8)])
         starts = offsets[:-1][owner] + within
         for walk in range(WALKS):
-            for key, (seen, sorted_keys, who, shift) in zip(walked(padded, starts, walk, window), index.tables[window, walk], strict=True):
-                hit = np.flatnonzero(seen[(key >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-                lo, hi = np.searchsorted(sorted_keys, key[hit], "left"), np.searchsorted(sorted_keys, key[hit], "right")
-                for h, a, b in zip(hit[hi > lo], lo[hi > lo], hi[hi > lo], strict=True):
-                    for e in range(a, b):
-                        places.setdefault((int(owner[h]), int(who[e])), set()).add((int(within[h]) - int(shift[e])) // 16)
+            for plan, keys in zip(plans, walked(padded, starts, walk, plans), strict=True):
+                for key, (seen, sorted_keys, who, shift) in zip(keys, index.tables[plan, walk], strict=True):
+                    hit = np.flatnonzero(seen[(key >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+                    hit = hit[within[hit] % plan.stride == 0]
+                    lo = np.searchsorted(sorted_keys, key[hit], "left")
+                    n = np.searchsorted(sorted_keys, key[hit], "right") - lo
+                    hit, lo, n = hit[n > 0], lo[n > 0], n[n > 0]
+                    total = np.cumsum(n)
+                    a = 0
+                    while a < len(hit):
+                        b = max(a + 1, int(np.searchsorted(total, total[a] - n[a] + _HITS, "right")))
+                        each = np.repeat(lo[a:b] - np.cumsum(n[a:b]) + n[a:b], n[a:b]) + np.arange(n[a:b].sum())
+                        h = np.repeat(hit[a:b], n[a:b])
+                        got = np.stack([owner[h], who[each], (within[h] - shift[each]) // 8, within[h]])
+                        found.append(_distinct(got) if got.shape[1] > _HITS // 8 else got)
+                        a = b
+    text, number, begin, within = _distinct(np.concatenate(found, 1))
+    # Of items that need two hits: those with a neighbour from another window within the edits that are allowed.
+    near = (text[1:] == text[:-1]) & (number[1:] == number[:-1]) & (within[1:] != within[:-1])
+    near &= (begin[1:] - begin[:-1] - 1) * 8 <= index.lengths[number[1:]] * rate
+    keep = index.hits[number] == 1
+    keep[1:] |= near
+    keep[:-1] |= near
+    text, number, begin, _ = _distinct(np.stack([text[keep], number[keep], begin[keep], begin[keep]]))
+    return text, number, begin * 8
+
+
+def _distinct(rows: np.ndarray) -> np.ndarray:
+    rows = rows[:, np.lexsort(rows[::-1])]
+    new = np.ones(rows.shape[1], bool)
+    new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
+    return rows[:, new]
+
+
+def _found(index: Index, data: np.ndarray, offsets: np.ndarray, rate: float) -> list[tuple[int, int, int, int]]:
+    """(text number, item number, distance, end byte) of the best match of every item that leaks into a text."""
+    texts, numbers, begins = _places(index, data, offsets, rate)
+    allowed = (index.lengths * rate).astype(np.int64)[numbers]
+    firsts = np.maximum(0, begins - allowed - 8)
+    lasts = np.minimum(np.diff(offsets)[texts], begins + index.lengths[numbers] + allowed + 16)
+    use = may_match(index, data, offsets[texts] + firsts, offsets[texts] + lasts, numbers, allowed)
+    places: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for text, number, first, last in zip(*(x[use].tolist() for x in (texts, numbers, firsts, lasts)), strict=True):
+        places.setdefault((text, number), []).append((first, last))
     found = []
-    for (text, number), begins in sorted(places.items()):
+    for (text, number), regions in sorted(places.items()):
         item = index.items[number]
-        n, most = len(item.text), int(len(item.text) * rate)
+        most = int(len(item.text) * rate)
         own = data[offsets[text] : offsets[text + 1]].tobytes()
         best = (most + 1, 0)
-        for begin in sorted(begins):
-            first = max(0, begin * 16 - most - 16)
-            distance, end = best_match(item, own[first : begin * 16 + n + most + 32])
+        for first, last in regions:
+            distance, end = best_match(item, own[first:last])
             best = min(best, (distance, first + end))
             if best[0] == 0:
                 break
