@@ -153,7 +153,7 @@ def _spans(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [x.split()[0] for x in _SPAN.split(", ")])
 
 
-def repeated_in_shard(texts: list[bytes], ids: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
+def repeated_in_shard(texts: list[bytes], ids: np.ndarray, h1: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
     """(context number, place) of every LENGTH-byte string that starts earlier elsewhere in the shard."""
     lengths = np.array([len(t) for t in texts])
     text = np.frombuffer(b"\0".join(texts), np.uint8)
@@ -165,18 +165,21 @@ def repeated_in_shard(texts: list[bytes], ids: np.ndarray, starts: np.ndarray) -
     run = np.cumsum(lcp < LENGTH)
     whole = place + LENGTH <= lengths[owner]  # others are no strings of their context
     run, owner, place = run[whole], owner[whole], place[whole]
-    by = np.lexsort((starts[owner] + place, ids[owner], run))
+    by = np.lexsort((starts[owner] + place, h1[owner], ids[owner], run))
     run, owner, place = run[by], owner[by], place[by]
     new = np.ones(len(run), bool)
     new[1:] = run[1:] != run[:-1]
     begin = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
     at = starts[owner] + place
-    later = (ids[owner] > ids[owner[begin]]) | (ids[owner] == ids[owner[begin]]) & (at > at[begin])
+    # Places are compared within one text only: other texts of the least id each keep their own earliest place.
+    new[1:] |= (ids[owner[1:]] == ids[owner[begin[1:]]]) & (h1[owner[1:]] != h1[owner[:-1]])
+    own = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
+    later = (ids[owner] > ids[owner[begin]]) | (at > at[own])
     return list(zip(owner[later].tolist(), place[later].tolist(), strict=True))
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of contexts sorted by anchor, context, order_id, start: the spans to remove."""
+    """Of contexts sorted by anchor, context, order_id, h1, start: the spans to remove."""
     shard: list[tuple] = []  # (order_id, h1, start, bytes) of first occurrences of contexts of anchors with several
     group: list[tuple] = []
     size = 0
@@ -185,9 +188,9 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def flush() -> list[tuple]:
         if len(shard) < 2:
             return []
-        ids, starts = np.array([s[0] for s in shard]), np.array([s[2] for s in shard])
+        ids, h1, starts = (np.array([s[k] for s in shard]) for k in (0, 1, 2))
         out = []
-        for k, place in repeated_in_shard([s[3] for s in shard], ids, starts):
+        for k, place in repeated_in_shard([s[3] for s in shard], ids, h1, starts):
             first = shard[k][2] + place
             if out and out[-1][:2] == shard[k][:2] and out[-1][2] <= first <= out[-1][3]:
                 out[-1] = (*out[-1][:3], max(out[-1][3], first + LENGTH))
@@ -210,8 +213,11 @@ def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if c != context:
                 context = c
                 group.append((order_id, h1, start, text))
-                original = (order_id, start)
-            elif (order_id, start) > original:
+                original = (order_id, h1, start)
+            elif order_id == original[0] and h1 != original[1]:  # another text under the id, so not after it
+                group.append((order_id, h1, start, text))
+                original = (order_id, h1, start)
+            elif order_id > original[0] or start > original[2]:
                 found.append((order_id, h1, start, start + len(text)))
         yield _spans(found)
     if len(group) > 1:
@@ -250,7 +256,7 @@ def removed_spans(documents: DataFrame) -> DataFrame:
     keys = rows.select("order_id", "h1", "h2")
     originals = keys.groupBy("h1", "h2").agg(F.min("order_id").alias("original"), F.max("order_id").alias("other")).where("other > original")
     copies = keys.join(originals.select("h1", "h2", "original"), ["h1", "h2"]).where("order_id > original").select("order_id", "h1").distinct()
-    placed = contexts(rows).repartition("anchor").sortWithinPartitions("anchor", "context", "order_id", "start")
+    placed = contexts(rows).repartition("anchor").sortWithinPartitions("anchor", "context", "order_id", "h1", "start")
     spans = placed.mapInArrow(_sorted_shards, _SPAN)
     return spans.select("order_id", "h1", F.lit(False).alias("whole"), "first", "last").union(
         copies.select("order_id", "h1", F.lit(True), F.lit(0).cast("long"), F.lit(0).cast("long"))

@@ -247,6 +247,23 @@ def test_suffix_dedup_against_brute_force(spark):
     assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_suffix_dedup_keeps_passages_of_other_texts_under_the_same_id(spark):
+    r = np.random.default_rng(6)
+    word = lambda n: " ".join("".join(r.choice(list("abcdeé"), 5)) for _ in range(n))
+    shared, known, whole = word(40), word(40), word(60)
+    rows = [(1, known), (None, shared + word(9)), (None, word(30) + shared[9:] + word(9) + known), (None, word(20) + shared + word(7) + shared)]
+    rows += [(5, word(4) + whole + word(3)), (5, word(25) + whole + word(3)), (6, word(8) + whole)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(x) for x in suffix_dedup.without_repeats(docs).collect()), key=repr)
+    # Only texts of smaller ids, and the earlier part of the same text, are before a place.
+    want = []
+    for key, text in rows:
+        before = [x for x in rows if x[0] is not None and (key is None or x[0] < key)]
+        want.append((key, *removed([(k, t) for k, (_, t) in enumerate(before)] + [(999, text)])[999]))
+    assert got == sorted(want, key=repr)
+    assert sum(x[2] > 0 for x in got) == 3
+
+
 def test_token_shards_round_trip_and_resume(some, spark):
     folder = new_path(spark, "shards-test")
     token_shards.write_shards(some, folder, shard_sequences=16, sequence_tokens=32)
