@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.llm import decontamination, jaccard, language, mixing, neighbours, quality, suffix_dedup, token_shards, url_filter, warc
+from monthwise.llm import (
+    conversations, decontamination, jaccard, language, mixing, neighbours, quality, secrets, suffix_dedup, token_shards, url_filter, variants, warc,
+)
 from monthwise.llm.common import new_path, remainder, table
 
 
@@ -64,11 +66,26 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source owns its documents; its documents in one language count as one repository."""
+    documents = table(spark, sf_dir, "documents")
+    return secrets.digested(secrets.scanned(documents, F.struct("source", "lang"), F.col("source")))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_source_mixing, op2_nearest_neighbours, op3_benchmark_decontamination, op4_warc_revisits, op5_language_id,
         op6_url_filter, op7_suffix_dedup, op8_token_shards, op9_quality_classifier, op10_jaccard_join,
+        op11_secret_scan, op12_conversation_repair, op13_spelling_variants,
     )
 }
 
