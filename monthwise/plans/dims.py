@@ -15,10 +15,16 @@ from monthwise.plans.staging import has_break, segment
 
 def product_groups(spark: SparkSession) -> DataFrame:
     """The built-in leaf mapping as rows (33 leaves)."""
-    rows = [
-        (code, group, *PRODUCT_YEARS) for group, codes in PRODUCT_GROUPS.items() for code in codes
-    ]
-    return spark.createDataFrame(rows, contracts.schema("product_groups"))
+    first, last = PRODUCT_YEARS
+    rows = ", ".join(
+        f"('{code}', '{group}', {first}, {last})"
+        for group, codes in PRODUCT_GROUPS.items()
+        for code in codes
+    )
+    # VALUES have a known size, so that joins with the mapping broadcast it instead of shuffling the cells.
+    schema = contracts.schema("product_groups")
+    values = spark.sql(f"SELECT * FROM VALUES {rows} AS leaves({', '.join(schema.names)})")
+    return values.select(*[F.col(field.name).cast(field.dataType) for field in schema])
 
 
 def _calendar(months: DataFrame) -> DataFrame:
