@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from monthwise.llm.common import (
     bit_set, components, in_bit_set, lower, mix, pieces, stored, text_bytes, word_bounds, word_hashes,
@@ -122,15 +123,20 @@ def frequent_shingles(documents: DataFrame) -> np.ndarray:
 
 
 def set_keys(documents: DataFrame) -> DataFrame:
-    """doc_id, n, h1, h2 of every row."""
+    """n, h1, h2 of every row, and its columns without the text."""
+    carried = documents.drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [_digests(owner, values, j - i) for i, j, owner, values in _over_texts(batch["text"])] or [(np.zeros(0, int),) * 3]
             n, h1, h2 = (np.concatenate(x) for x in zip(*got, strict=True))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n.astype(np.int32)), pa.array(h1.astype(np.int64)), pa.array(h2.astype(np.int32))], ["doc_id", "n", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in names), pa.array(n.astype(np.int32)), pa.array(h1.astype(np.int64)), pa.array(h2.astype(np.int32))], [*names, "n", "h1", "h2"]
+            )
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n int, h1 long, h2 int")
+    names = carried.columns
+    schema = carried.schema.add("n", IntegerType()).add("h1", LongType()).add("h2", IntegerType())
+    return documents.select(*names, "text").mapInArrow(run, schema)
 
 
 def index_entries(documents: DataFrame, frequent: Broadcast) -> DataFrame:
@@ -484,8 +490,13 @@ def verified_blocks(found: DataFrame, classes: DataFrame, documents: DataFrame)
 
 def linked(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
+    out = _labelled(documents.select("doc_id", "text"))
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _labelled(documents: DataFrame) -> DataFrame:
+    """Every row without its text, with its set's n, h1 and h2, its group (null without words) and the group's smallest doc_id."""
     spark = documents.sparkSession
-    documents = documents.select("doc_id", "text")
     keys = stored(set_keys(documents), "set-keys")
     classes = stored(
         keys.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("doc_id")).withColumn("cid", F.monotonically_increasing_id()),
@@ -521,20 +532,30 @@ def linked(documents: DataFrame) -> DataFrame:
     final = components(links)
     labelled = classes.join(final, classes["cid"] == final["node"], "left").withColumn("group", F.coalesce("component", "cid"))
     smallest = labelled.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    by_class = labelled.select("n", "h1", "h2", "group").join(smallest, "group").drop("group")
-    out = keys.join(by_class, ["n", "h1", "h2"], "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    by_class = labelled.select("n", "h1", "h2", "group").join(smallest, "group")
+    return keys.join(by_class, ["n", "h1", "h2"], "left")
 
 
 def distinct_documents(documents: DataFrame) -> DataFrame:
-    """The documents with one row of each component: that of its smallest doc_id (rows repeated under it: once)."""
+    """The documents with one text of each group of links: that of its smallest doc_id (null last, ties by digest).
+
+    Rows are told apart by doc_id and the digest of their text, so another text under the same id is judged by itself
+    and null ids are compared like others. Rows equal in both stay once. Texts without words are never linked.
+    """
     columns = documents.columns
-    labels = stored(linked(documents), "components")
-    gone = labels.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    repeated = labels.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = documents.join(gone, "doc_id", "left_anti")
-    some = repeated.limit(1).count()
-    if some:
-        again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(again)
+    mark, own_id, own_mark = "_text_mark", "_own_id", "_own_mark"
+    marked = documents.withColumn(mark, F.unhex(F.sha2("text", 256)))
+    labels = stored(_labelled(marked.select("doc_id", mark, "text")).select("doc_id", mark, "group"), "components")
+    grouped = labels.where("group is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", mark)
+    first = grouped.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col(mark) == F.col(f"first.{mark}"))
+    named = lambda f: f.select(F.col("doc_id").alias(own_id), F.col(mark).alias(own_mark))
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & F.col(mark).eqNullSafe(F.col(own_mark))
+    gone = named(grouped.join(first, "group").where(~stays)).distinct()
+    repeated = stored(named(labels.groupBy("doc_id", mark).count().where("count > 1")), "repeated")
+    kept = marked.join(gone, same, "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", mark])
+        kept = kept.join(repeated, same, "left_anti").unionByName(once)
     return kept.select(*columns)

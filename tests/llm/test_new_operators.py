@@ -10,7 +10,7 @@ import zlib
 
 import pytest
 
-from monthwise.llm import conversations, secrets, variants
+from monthwise.llm import conversations, jaccard, secrets, variants
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, row string, base string, word string, n long, form string"
 
@@ -265,3 +265,24 @@ def test_acceptor_is_minimal():
     acceptor = variants.Acceptor(words)
     merged = variants.Acceptor(["", "ed", "ing", "s"])
     assert len(acceptor.edges) == len(merged.edges) + 2
+
+
+# One document of each group of near copies
+
+
+def test_distinct_documents_judges_texts_not_ids(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    third = " ".join(f"z{k}" for k in range(60))
+    rows = [
+        (1, base, "a"), (2, base + " more", "a"), (2, "a clean text under the same id as a copy", "a"), (None, base + " again", "a"),
+        (None, other, "b"), (None, other, "b"), (None, other + " more", "b"), (None, "one more clean text without an id", "b"),
+        (7, third, "c"), (7, third, "c"), (7, third + " more", "c"), (8, None, "c"), (8, "", "c"), (None, None, "c"),
+    ]
+    got = [(r.doc_id, r.text) for r in jaccard.distinct_documents(documents(spark, rows)).collect()]
+    of = lambda start: [g for g in got if (g[1] or "").startswith(start)]
+    assert of("w0") == [(1, base)]
+    assert len(of("v0")) == 1 and of("v0")[0][0] is None and len(of("z0")) == 1 and of("z0")[0][0] == 7
+    assert len(of("a clean")) == len(of("one more")) == 1
+    assert {g for g in got if not g[1]} == {(8, None), (8, ""), (None, None)}
+    assert len(got) == 8
