@@ -18,6 +18,7 @@ from monthwise import contracts
 from monthwise.functions.signatures import content_measures, fingerprint
 from monthwise.operators.quality import repeated_keys
 from monthwise.operators.scope import Scope, in_scope, replace_rows, touched_months
+from monthwise.operators.scope_tables import covered_months, replace_rows_by_table
 
 MANIFEST = (
     "generation bigint, table_name string, row_count bigint, content_hash string, "
@@ -111,6 +112,32 @@ def replace_in_table(
     current = spark.read.schema(contracts.schema(table)).parquet(path).select(columns)
     touched = current.where(F.col(month).isin(*months))
     result = replace_rows(touched, incoming.select(columns), scopes, month)
+    return _exchange_months(spark, path, result, months, table, month, key)
+
+
+def replace_in_table_by(
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    scopes: DataFrame,
+    keys: Sequence[str],
+    table: str,
+    month: str = "period_month",
+    key: Sequence[str] = (),
+) -> list[date]:
+    """As :func:`replace_in_table`, with a scope table; only the months, one for each of the calendar, are collected."""
+    columns = contracts.schema(table).fieldNames()
+    months = [row[0] for row in covered_months(scopes, month=month).distinct().orderBy(month).collect()]
+    current = spark.read.schema(contracts.schema(table)).parquet(path).select(columns)
+    touched = current.where(F.col(month).isin(*months))
+    result = replace_rows_by_table(touched, incoming.select(columns), scopes, keys, month)
+    return _exchange_months(spark, path, result, months, table, month, key)
+
+
+def _exchange_months(
+    spark: SparkSession, path: str, result: DataFrame, months: list[date], table: str, month: str, key: Sequence[str]
+) -> list[date]:
+    columns = contracts.schema(table).fieldNames()
     staged_path = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
     measures = write_verified(result.hint("rebalance", month), staged_path, (month,))
     staged = spark.read.schema(contracts.schema(table)).parquet(staged_path).select(columns)

@@ -6,10 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise import contracts
+from monthwise.sources.footers import file_drift
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Parquet with the declared schema; nothing is inferred."""
+    """Parquet with the declared schema; nothing is inferred.
+
+    The footers of the files are compared with the contract first, since a forced schema reads an absent column as
+    nulls and hides an additional one; any difference raises.
+    """
+    drift = file_drift(spark, path, table).collect()  # at most a row per column and type
+    if drift:
+        found = "; ".join(f"{d.problem} {d.column_name} ({d.found_type}) in {d.files} files, as {d.example_path}" for d in drift)
+        raise ValueError(f"{table}: files differ from the contract: {found}")
     return contracts.conform(
         spark.read.schema(contracts.schema(table)).parquet(path), table
     )

@@ -699,6 +699,85 @@ oracle("selection_complete", "amounts", """
   LEFT JOIN covering ON covering.period_month = CAST(m AS DATE) AND covering.product_code = p AND covering.reporter_code = r
   WHERE coalesce(n, 0) <> 1
 """)
+def replacement(name: str, hit: str, needs: str = "cells") -> None:
+    """A fragment with the cells after a later version replaced the rows for which a condition holds."""
+    cte(name, needs, f"""
+  SELECT * EXCLUDE (hit, survives) FROM (
+    SELECT *, ({hit}) AS hit,
+      (CAST(split_part(product_code, '#', 2) AS INTEGER) + year(period_month) * 12 + month(period_month) - 1) % 7 <> 0 AS survives
+    FROM cells) WHERE NOT hit
+  UNION ALL
+  SELECT * EXCLUDE (hit, survives) REPLACE (
+    CAST(source_value * 1.1 AS DECIMAL(24,4)) AS source_value,
+    CAST(CAST(source_value * 1.1 AS DECIMAL(24,4)) AS VARCHAR) AS source_value_text,
+    source_capture_id || '-b' AS source_capture_id, '2002-02-15T11:00:00+0000' AS source_update_time)
+  FROM (
+    SELECT *, ({hit}) AS hit,
+      (CAST(split_part(product_code, '#', 2) AS INTEGER) + year(period_month) * 12 + month(period_month) - 1) % 7 <> 0 AS survives
+    FROM cells) WHERE hit AND survives
+""")
+
+
+replacement("replaced_by_table", """
+  period_month = DATE '1998-07-01' OR (month(period_month) BETWEEN 2 AND 5
+    AND (CAST(split_part(product_code, '#', 2) AS INTEGER) + year(period_month) + length(partner_code)) % 5 = 0)
+""")
+oracle("scope_table_replace", "replaced_by_table", rounded("replaced_by_table"))
+cte("leaves", "mapping", """
+  SELECT DISTINCT 'RA' AS reporter_code, product_code, CAST(m AS DATE) AS period_month, flow_code
+  FROM mapping CROSS JOIN (SELECT unnest(generate_series(DATE '1997-05-01', DATE '1999-02-01', INTERVAL 1 MONTH)) AS m)
+  CROSS JOIN (VALUES ('1')) f(flow_code)
+  WHERE product_group IN ('grain_3', 'grain_4') AND year(m) BETWEEN valid_from_year AND valid_to_year
+  UNION ALL
+  SELECT DISTINCT 'RN', product_code, CAST(m AS DATE), flow_code
+  FROM (SELECT product_code FROM mapping WHERE product_group = 'metal_7' AND valid_from_year <= 1996
+        UNION ALL SELECT 'Brand#16' UNION ALL SELECT 'Brand#99')
+  CROSS JOIN (SELECT unnest(generate_series(DATE '1996-11-01', DATE '1997-01-01', INTERVAL 1 MONTH)) AS m)
+  CROSS JOIN (VALUES ('1'), ('2')) f(flow_code)
+""")
+replacement("replaced_by_selection", """
+  EXISTS (SELECT 1 FROM leaves l WHERE l.reporter_code = cells.reporter_code AND l.product_code = cells.product_code
+          AND l.period_month = cells.period_month AND l.flow_code = cells.flow_code)
+""", "cells leaves")
+oracle("selection_replace", "replaced_by_selection", rounded("replaced_by_selection"))
+oracle("selection_gaps_by_group", "leaves amounts", """
+  WITH held AS (SELECT DISTINCT reporter_code, product_code, year(period_month) AS y FROM amounts),
+  counted AS (
+    SELECT l.reporter_code, l.flow_code, l.period_month, l.product_code,
+      CAST(CASE WHEN h.y IS NULL THEN 0 WHEN l.reporter_code = 'RN' AND h.y = 1996 THEN 2 ELSE 1 END AS BIGINT) AS covering_slices
+    FROM leaves l LEFT JOIN held h ON h.reporter_code = l.reporter_code AND h.product_code = l.product_code AND h.y = year(l.period_month))
+  SELECT *, CAST(1 AS BIGINT) AS requests, CASE covering_slices WHEN 0 THEN 'missing' ELSE 'overlapping' END AS problem
+  FROM counted WHERE covering_slices <> 1
+""")
+cte("asked_prices", "prices", """
+  SELECT *, CAST(series_id[1] AS INTEGER) % 2 = 0 AND period_month BETWEEN DATE '1996-03-01' AND DATE '1997-04-01' AS hit FROM prices
+""")
+oracle("price_selection_replace", "asked_prices", """
+  SELECT * EXCLUDE (hit) FROM asked_prices WHERE NOT hit
+  UNION ALL
+  SELECT * EXCLUDE (hit) REPLACE (CAST(price_usd_per_kg * 2 AS DECIMAL(20,8)) AS price_usd_per_kg)
+  FROM asked_prices WHERE hit AND month(period_month) BETWEEN 3 AND 10
+""")
+oracle("marts_after_replacement", "scoped replaced", """
+  SELECT t AS table_name, CAST(0 AS BIGINT) AS differing_rows,
+    (SELECT count(*) FROM replaced WHERE (reporter_code, period_month) IN (SELECT (reporter_code, period_month) FROM scoped WHERE hit))
+      AS cells_read,
+    (SELECT count(*) FROM replaced) AS cells_of_full_build
+  FROM (VALUES ('monthly_product_metrics'), ('monthly_trade_balances'), ('monthly_partner_shares'),
+               ('monthly_partner_concentration')) v(t)
+""")
+oracle("file_drift", "cells", """
+  SELECT 'monthly_trade' AS table_name, problem, column_name, declared_type, found_type,
+    CAST((SELECT count(*) FROM cells WHERE year(period_month) BETWEEN a AND b) AS BIGINT) AS affected_rows
+  FROM (VALUES ('absent', 'source_status', 'string', NULL, 1997, 1997), ('undocumented', 'note', NULL, 'string', 1998, 1998),
+               ('wrong_type', 'source_value', 'decimal(24,4)', 'double', 1999, 9999))
+    v(problem, column_name, declared_type, found_type, a, b)
+""")
+oracle("pinned_generations", "cells replaced", """
+  SELECT generation, reporter_code, count(*) AS row_count, CAST(sum(source_value) AS DECIMAL(38,4)) AS value_sum
+  FROM (SELECT CAST(1 AS BIGINT) AS generation, reporter_code, source_value FROM cells
+        UNION ALL SELECT 2, reporter_code, source_value FROM replaced) GROUP BY ALL
+""")
 cte("price_ranges", "prices", """
   SELECT source_dataset, series_id, min(period_month) AS start_month, max(period_month) AS end_month
   FROM prices GROUP BY source_dataset, series_id, year(period_month)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from monthwise import contracts
-from monthwise.operators import quality
+from monthwise.operators import quality, selection
 from monthwise.operators.materialize import stored
 from monthwise.operators.registry import append_history, first_selected, latest_run, merge_captures
 from monthwise.operators.scope import (
@@ -29,6 +30,8 @@ from monthwise.operators.scope import (
     slice_scopes,
     uncovered_months,
 )
+from monthwise.operators.scope_tables import replace_rows_by_table, scope_table
+from monthwise.operators.vintages import new_captures, version
 from monthwise.plans import (
     checks,
     coverage,
@@ -39,10 +42,11 @@ from monthwise.plans import (
     marts,
     presentation,
     publish,
+    refresh,
     staging,
 )
 from monthwise.session import checkpoint_folder
-from monthwise.sources import cubes, wide_prices
+from monthwise.sources import cubes, footers, wide_prices
 from monthwise.sources import driver_tables as source
 from monthwise.sources.driver_tables import FOLDS, PRICES, TRADE
 
@@ -360,6 +364,9 @@ SCOPES = (
 )
 
 
+SCOPE_KEYS = ("reporter_code", "product_code", "flow_code", "partner_code")
+
+
 @query()
 def scope_replace(spark, folder):
     """Cells after a later version replaced two scopes, withdrawals included."""
@@ -404,13 +411,25 @@ def refresh_equal(spark, folder):
 
 @query()
 def restored_vintage(spark, folder):
-    """A replacement undone by pinning the earlier captures again: rows that still differ."""
+    """Three selections over one store of captures, the last pins the first captures again: rows that still differ."""
     cells = stored(source.trade_cells(spark, folder))
-    revised = stored(replace_rows(cells, source.revised_cells(cells), SCOPES))
-    back = replace_rows(revised, cells, SCOPES)
+    revised = source.revised_cells(cells)
+    store = stored(cells.unionByName(new_captures(cells, revised)))
+    captures = lambda frame: frame.agg(F.array_sort(F.collect_set("source_capture_id")).alias("capture_ids"))
+    everything = [Scope(date(1990, 1, 1), date(2005, 12, 1), {})]
+    steps = ((1, everything, cells), (2, SCOPES, revised), (3, SCOPES, cells))
+    selections = reduce(
+        DataFrame.unionByName,
+        [
+            scope_table(spark, scopes, SCOPE_KEYS).join(captures(pinned)).withColumn("selection_no", F.lit(number).cast("long"))
+            for number, scopes, pinned in steps
+        ],
+    )
+    selections = stored(selections)
+    after, back = version(store, selections, SCOPE_KEYS, 2), version(store, selections, SCOPE_KEYS)
     return quality.one_row(
         row_differences(back, cells).agg(F.count(F.lit(1)).alias("rows_still_different")),
-        row_differences(revised, cells).agg(F.count(F.lit(1)).alias("rows_replaced")),
+        row_differences(after, cells).agg(F.count(F.lit(1)).alias("rows_replaced")),
     )
 
 
@@ -479,6 +498,141 @@ def table_replace(spark, folder):
     return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
 
 
+def _many_scopes(cells: DataFrame) -> DataFrame:
+    """Some thousand scopes out of the cells: spring months of single products and partners, and one whole month."""
+    year = F.year("period_month").alias("y")
+    brand = F.substring_index("product_code", "#", -1).cast("int")
+    parts = cells.select("reporter_code", "product_code", "partner_code", year).distinct()
+    single = parts.where((brand + F.col("y") + F.char_length("partner_code")) % 5 == 0).select(
+        F.make_date("y", F.lit(2), F.lit(1)).alias("start_month"), F.make_date("y", F.lit(5), F.lit(1)).alias("end_month"),
+        F.array("reporter_code").alias("reporter_code"), F.array("product_code").alias("product_code"),
+        F.lit(None).cast("array<string>").alias("flow_code"), F.array("partner_code").alias("partner_code"),
+    )
+    whole = scope_table(cells.sparkSession, [Scope(date(1998, 7, 1), date(1998, 7, 1), {})], SCOPE_KEYS)
+    return stored(single.unionByName(whole))
+
+
+@query()
+def scope_table_replace(spark, folder):
+    """Cells after a later version replaced some thousand scopes that are held as a table; keys must stay unique."""
+    cells = stored(source.trade_cells(spark, folder))
+    return replace_rows_by_table(
+        cells, source.revised_cells(cells), _many_scopes(cells), SCOPE_KEYS, unique=contracts.TRADE_KEY
+    )
+
+
+def _selected(spark: SparkSession, folder: str, products: list[str], slices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Requests by group and by product, resolved to leaves, and the scopes of the slices that hold them."""
+    requests = spark.createDataFrame(
+        [
+            ("grain", "RA", date(1997, 5, 1), date(1999, 2, 1), [], ["grain_3", "grain_4"], ["1"]),
+            ("metal", "RN", date(1996, 11, 1), date(1997, 1, 1), products, ["metal_7"], ["1", "2"]),
+        ],
+        "request_id string, reporter_code string, start_month date, end_month date, products array<string>, "
+        "product_groups array<string>, flows array<string>",
+    )
+    leaves = stored(selection.requested_leaves(requests, source.product_mapping(spark, folder)))
+    return leaves, stored(selection.selected_scopes(leaves, slices))
+
+
+@query()
+def selection_replace(spark, folder):
+    """A month table in which the scopes of a selection are replaced in place, read back."""
+    path = f"{checkpoint_folder(spark)}/cells-{uuid4().hex}"
+    cells = stored(source.trade_cells(spark, folder))
+    publish.write_month_table(cells, path)
+    _, scopes = _selected(spark, folder, ["Brand#16"], stored(_slices(spark, folder)))
+    publish.replace_in_table_by(
+        spark, path, source.revised_cells(cells), scopes, SCOPE_KEYS, "monthly_trade", key=contracts.TRADE_KEY
+    )
+    schema = contracts.schema("monthly_trade")
+    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
+
+
+@query()
+def selection_gaps_by_group(spark, folder):
+    """What a selection by group asks for that no slice holds or several do; no slice has Brand#99, RN-1996 is held twice."""
+    slices = stored(_slices(spark, folder))
+    again = slices.where("slice_id = 'RN-1996'").withColumn("slice_id", F.lit("RN-1996-again"))
+    leaves, scopes = _selected(spark, folder, ["Brand#16", "Brand#99"], slices.unionByName(again))
+    return selection.selection_problems(scopes, leaves)
+
+
+@query()
+def price_selection_replace(spark, folder):
+    """Prices after the series of every second priority was replaced by a version with doubled prices and no winter."""
+    prices = stored(source.monthly_prices(spark, folder))
+    wanted = prices.where(F.substring("series_id", 1, 1).cast("int") % 2 == 0).groupBy("source_dataset").agg(F.collect_set("series_id").alias("series"))
+    requests = wanted.select(
+        F.col("source_dataset").alias("request_id"), "source_dataset", F.lit(date(1996, 3, 1)).alias("start_month"),
+        F.lit(date(1997, 4, 1)).alias("end_month"), "series",
+    )
+    later = prices.where(F.month("period_month").isin(3, 4, 5, 6, 7, 8, 9, 10)).withColumn(
+        "price_usd_per_kg", F.col("price_usd_per_kg") * 2
+    ).select(*[F.col(f.name).cast(f.dataType) for f in prices.schema.fields])
+    return replace_rows_by_table(prices, later, stored(selection.price_scopes(requests)), selection.PRICE_KEYS)
+
+
+@query()
+def marts_after_replacement(spark, folder):
+    """Marts of which only the touched blocks were built again, against a full build: rows that differ, cells read."""
+    cells = stored(source.trade_cells(spark, folder))
+    revised = source.revised_cells(cells)
+    scopes = stored(scope_table(spark, SCOPES, SCOPE_KEYS))
+    after = stored(replace_rows_by_table(cells, revised, scopes, SCOPE_KEYS))
+    mapping, dimension = source.product_mapping(spark, folder), products(spark, folder)
+    blocks = stored(refresh.touched_blocks(cells, revised, scopes, SCOPE_KEYS))
+    builders = refresh.trade_marts(dimension, TRADE)
+    before, full = (stored(refresh.trade_fact(c, mapping, TRADE)) for c in (cells, after))
+    earlier = {name: stored(build(before)) for name, build in builders.items()}
+    now = refresh.refreshed_marts(earlier, after, blocks, mapping, dimension, TRADE)
+    sizes = refresh.cells_of(after, blocks).agg(F.count(F.lit(1)).alias("cells_read")).join(
+        after.agg(F.count(F.lit(1)).alias("cells_of_full_build"))
+    )
+    rows = [
+        row_differences(*(comparable(mart, ("named_partner_hhi",)) for mart in (now[name], build(full)))).agg(F.count(F.lit(1)).alias("differing_rows")).select(
+            F.lit(name).alias("table_name"), "differing_rows"
+        )
+        for name, build in builders.items()
+    ]
+    return reduce(DataFrame.unionByName, rows).join(sizes)
+
+
+@query()
+def file_drift(spark, folder):
+    """Cells written in slices of which three differ from the contract: what their footers show."""
+    root = f"{checkpoint_folder(spark)}/slices-{uuid4().hex}"
+    cells = stored(source.trade_cells(spark, folder))
+    year = F.year("period_month")
+    slices = {
+        "declared": cells.where(year <= 1996),
+        "absent": cells.where(year == 1997).drop("source_status"),
+        "additional": cells.where(year == 1998).withColumn("note", F.lit("x")),
+        "retyped": cells.where(year >= 1999).withColumn("source_value", F.col("source_value").cast("double")),
+    }
+    for name, frame in slices.items():
+        frame.write.parquet(f"{root}/{name}")
+    return footers.file_drift(spark, root, "monthly_trade").drop("files", "example_path")
+
+
+@query()
+def pinned_generations(spark, folder):
+    """Two generations of the cells, the second after a replacement, both read back by number."""
+    root = f"{checkpoint_folder(spark)}/generations-{uuid4().hex}"
+    cells = stored(source.trade_cells(spark, folder))
+    first = publish.publish_generation(root, {"monthly_trade": cells}, "full", "run-1")
+    pinned = publish.read_generation(spark, root, first)["monthly_trade"]
+    after = replace_rows(pinned, source.revised_cells(pinned), SCOPES)
+    second = publish.publish_generation(root, {"monthly_trade": after}, "replacement", "run-2")
+    read = [
+        publish.read_generation(spark, root, number)["monthly_trade"].withColumn("generation", F.lit(number).cast("long"))
+        for number in (first, second)
+    ]
+    return reduce(DataFrame.unionByName, read).groupBy("generation", "reporter_code").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("source_value").cast("decimal(38,4)").alias("value_sum")
+    )
+
+
 # --- captures, lineage, freshness ------------------------------------------------------
 
 
