@@ -17,10 +17,15 @@ from pyspark.sql import functions as F
 from monthwise.operators.quality import repeated_keys
 from monthwise.operators.scope import Scope
 
-#: Rows of one key are dealt to this many tasks, so that a month or code with a third of all rows is not one task.
+#: Rows of one month and one set of codes are dealt to this many tasks, so that a month or code with a third of all rows
+#: is not one task. Keys that list every column stand for a few rows each and are not repeated.
 SALTS = 16
 
 
+def salts_for(listed: Sequence[str], keys: Sequence[str], salts: int) -> int:
+    return 1 if len(listed) == len(keys) else salts
+
+
 def scope_table(spark: SparkSession, scopes: Iterable[Scope], keys: Sequence[str]) -> DataFrame:
     """Literal scopes as a scope table."""
     rows = []
@@ -69,7 +74,8 @@ def scope_keys(
 
 def _salted(rows: DataFrame, listed: Sequence[str], month: str, salts: int) -> DataFrame:
     others = [c for c in rows.columns if c != month and c not in listed]
-    return rows.withColumn("__salt", F.pmod(F.xxhash64(*others), F.lit(salts)) if others else F.lit(0).cast("long"))
+    spread = F.pmod(F.xxhash64(*others), F.lit(salts)) if others and salts > 1 else F.lit(0).cast("long")
+    return rows.withColumn("__salt", spread)
 
 
 def _salted_keys(scopes: DataFrame, keys: Sequence[str], listed: Sequence[str], month: str, salts: int) -> DataFrame:
@@ -83,8 +89,9 @@ def outside_scopes(
 ) -> DataFrame:
     """Rows in no scope, one left_anti join per set of listed columns; a row with a null month or code stays."""
     for listed in listed_columns(scopes, keys):
-        held = _salted_keys(scopes, keys, listed, month, salts)
-        rows = _salted(rows, listed, month, salts).join(held, [month, *listed, "__salt"], "left_anti").drop("__salt")
+        n = salts_for(listed, keys, salts)
+        held = _salted_keys(scopes, keys, listed, month, n)
+        rows = _salted(rows, listed, month, n).join(held, [month, *listed, "__salt"], "left_anti").drop("__salt")
     return rows
 
 
@@ -94,9 +101,10 @@ def inside_scopes(
     """Rows in at least one scope, each once."""
     found, rest = None, rows
     for listed in listed_columns(scopes, keys):
-        held = _salted_keys(scopes, keys, listed, month, salts)
+        n = salts_for(listed, keys, salts)
+        held = _salted_keys(scopes, keys, listed, month, n)
         on = [month, *listed, "__salt"]
-        salted = _salted(rest, listed, month, salts)
+        salted = _salted(rest, listed, month, n)
         hit = salted.join(held, on, "left_semi").select(rows.columns)
         found = hit if found is None else found.unionByName(hit)
         rest = salted.join(held, on, "left_anti").select(rows.columns)

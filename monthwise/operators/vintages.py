@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.operators.scope_tables import SALTS, _lists, _salted, covered_months, listed_columns
+from monthwise.operators.scope_tables import SALTS, _lists, _salted, covered_months, listed_columns, salts_for
 
 
 def new_captures(store: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -38,12 +38,13 @@ def version(
         selections = selections.where(F.col("selection_no") <= number)
     rows, latest = store, []
     for n, listed in enumerate(listed_columns(selections, keys)):
+        dealt = salts_for(listed, keys, salts)
         scoped = covered_months(selections.where(_lists(keys, listed)), "selection_no", *listed, month=month)
         for column in listed:
             scoped = scoped.withColumn(column, F.explode(column))
         last = scoped.groupBy(month, *listed).agg(F.max("selection_no").alias(f"__latest_{n}"))
-        last = last.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        rows = _salted(rows, listed, month, salts).join(last, [month, *listed, "__salt"], "left").drop("__salt")
+        last = last.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(dealt - 1).cast("long"))))
+        rows = _salted(rows, listed, month, dealt).join(last, [month, *listed, "__salt"], "left").drop("__salt")
         latest.append(F.col(f"__latest_{n}"))
     if not latest:
         return store.limit(0)
