@@ -2,7 +2,7 @@
 
 Labelled URLs are those that a rule decides. The trees see lengths, depth, digit ratio, entropy, parameter
 counts and statistics of the host's suffix (frequency among all URLs, block rate among the labelled ones),
-the statistics being counted over all URLs into a fixed number of hashed slots. Training takes at most `sample`
+the statistics being counted exactly over all URLs and joined to them. Training takes at most `sample`
 labelled URLs, drawn by hash; every URL is judged.
 
 Defined results: a null url or one without "://" has empty host and path, fits no rule and is judged by the trees;
@@ -16,9 +16,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monthwise.llm.common import stored
+
 #: (verdict, host, path)
 RULES = (
     ("allow", "org", "/"),
@@ -27,7 +29,8 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-SLOTS = 4096
+#: Tasks that URLs of one suffix are dealt to.
+SALTS = 32
 SAMPLE = 20_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -52,23 +55,30 @@ def with_rule(rows: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) ->
     return rows.withColumns({"rule": rule, "rule_verdict": verdict})
 
 
-def _slot(depth: int) -> Column:
-    return F.pmod(F.xxhash64(F.substring_index("host", ".", -depth)), F.lit(SLOTS))
+def with_suffixes(rows: DataFrame) -> DataFrame:
+    """Adds the last label and the last two labels of the host."""
+    return rows.withColumns({f"suffix_{d}": F.substring_index("host", ".", -d) for d in (1, 2)})
 
 
-def suffix_statistics(rows: DataFrame) -> np.ndarray:
-    """For suffixes of one and two labels: counts of URLs, labelled and blocked ones by slot (2 x SLOTS x 3)."""
-    out = np.zeros((2, SLOTS, 3))
-    both = rows.select(
-        F.explode(F.array(F.struct(F.lit(0).alias("d"), _slot(1).alias("s")), F.struct(F.lit(1).alias("d"), _slot(2).alias("s")))).alias("k"),
-        "rule_verdict",
-    )
-    counted = both.groupBy("k.d", "k.s").agg(
-        F.count("*").alias("n"), F.count("rule_verdict").alias("labelled"), F.count_if(F.col("rule_verdict") == "block").alias("blocked")
+def suffix_statistics(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exact counts of URLs, labelled and blocked ones by suffix of one and of two labels; they combine before the shuffle."""
+    two = stored(
+        rows.groupBy("suffix_1", "suffix_2").agg(
+            F.count("*").alias("n_2"), F.count("rule_verdict").alias("labelled_2"), F.count_if(F.col("rule_verdict") == "block").alias("blocked_2")
+        ),
+        "suffixes",
     )
-    for r in counted.collect():  # at most 2 x SLOTS rows
-        out[r["d"], r["s"]] = r["n"], r["labelled"], r["blocked"]
-    return out
+    one = two.groupBy("suffix_1").agg(*[F.sum(f"{c}_2").alias(f"{c}_1") for c in ("n", "labelled", "blocked")])
+    return one, two.drop("suffix_1")
+
+
+def with_statistics(rows: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
+    """Adds the counts of both suffixes to every URL; a suffix with a third of all URLs is dealt to many tasks."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    for key, counts in (("suffix_2", two), ("suffix_1", one)):
+        rows = rows.join(counts.withColumn("salt", every), [key, "salt"])
+    return rows.drop("salt")
 
 
 FEATURES = (
@@ -77,13 +87,13 @@ FEATURES = (
 )
 
 
-def features(batch: pa.RecordBatch, statistics: np.ndarray) -> np.ndarray:
-    """One row of FEATURES for each URL."""
+def features(batch: pa.RecordBatch, totals: tuple[int, int, int]) -> np.ndarray:
+    """One row of FEATURES for each URL; `totals` are the counts of all URLs, labelled and blocked ones."""
     urls = [u or "" for u in batch["url"].to_pylist()]
     hosts, paths = batch["host"].to_pylist(), batch["path"].to_pylist()
     out = np.zeros((len(urls), len(FEATURES)))
-    total = max(1.0, statistics[0, :, 0].sum())
-    prior = (statistics[0, :, 2].sum() + 1) / (statistics[0, :, 1].sum() + 2)
+    total = max(1, totals[0])
+    prior = (totals[2] + 1) / (totals[1] + 2)
     for k, (url, host, path) in enumerate(zip(urls, hosts, paths, strict=True)):
         counts = np.unique(np.frombuffer(url.encode(), np.uint8), return_counts=True)[1]
         share = counts / max(1, counts.sum())
@@ -95,9 +105,9 @@ def features(batch: pa.RecordBatch, statistics: np.ndarray) -> np.ndarray:
             query.count("=") , "#" in url, url.count("-"), max(map(len, segments)),
         )
     for d in range(2):
-        got = statistics[d][batch[f"slot_{d + 1}"].to_numpy()]
-        out[:, 12 + 2 * d] = np.log1p(got[:, 0]) - np.log1p(total)
-        out[:, 13 + 2 * d] = (got[:, 2] + prior * 4) / (got[:, 1] + 4)
+        n, labelled, blocked = (batch[f"{c}_{d + 1}"].to_numpy() for c in ("n", "labelled", "blocked"))
+        out[:, 12 + 2 * d] = np.log1p(n) - np.log1p(total)
+        out[:, 13 + 2 * d] = (blocked + prior * 4) / (labelled + 4)
     return out
 
 
@@ -154,22 +164,39 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-raw))
 
 
+def training_sample(rows: DataFrame, labelled: int, sample: int) -> DataFrame:
+    """At most `sample` labelled URLs, those of the lowest hashes, with y = 1 for blocked ones.
+
+    Hashes above a bound that leaves about twice the sample are cut first, so that tasks do not hand on a sample each.
+    """
+    known = rows.where("rule_verdict is not null").select(
+        "page_id", "url", "host", "path", "suffix_1", "suffix_2", (F.col("rule_verdict") == "block").cast("int").alias("y"),
+        F.xxhash64("url", "page_id").alias("h"),
+    )
+    if labelled > 4 * sample:
+        bound = int((2 * sample / labelled - 0.5) * 2**64)
+        known = known.where(F.col("h") <= bound)
+    return known.orderBy("h", "url", "page_id").limit(sample).drop("h")
+
+
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, sample: int = SAMPLE, threshold: float = 0.5) -> DataFrame:
     """page_id, host, path, rule, verdict and block_score of every page."""
     spark = pages.sparkSession
-    rows = with_rule(split_url(pages), rules).withColumns({"slot_1": _slot(1), "slot_2": _slot(2)})
-    statistics = suffix_statistics(rows)
-    labelled = rows.where("rule_verdict is not null").orderBy(F.xxhash64("url"), "url", "page_id").limit(sample)
-    got = labelled.select("url", "host", "path", "slot_1", "slot_2", (F.col("rule_verdict") == "block").cast("int").alias("y")).toArrow()
+    plain = with_suffixes(with_rule(split_url(pages), rules))
+    one, two = suffix_statistics(plain)
+    totals = tuple(one.agg(*[F.coalesce(F.sum(f"{c}_1"), F.lit(0)) for c in ("n", "labelled", "blocked")]).first())
+    rows = with_statistics(plain, one, two)
+    got = training_sample(plain, totals[1], sample)
+    got = with_statistics(got, one, two).orderBy("url", "page_id").toArrow()  # an order of its own, so that reruns agree
     batch = got.combine_chunks().to_batches()
-    x = np.concatenate([features(b, statistics) for b in batch]) if batch else np.zeros((0, len(FEATURES)))
+    x = np.concatenate([features(b, totals) for b in batch]) if batch else np.zeros((0, len(FEATURES)))
     model = boost(x, got["y"].to_numpy().astype(float) if len(got) else np.zeros(0))
-    shared = spark.sparkContext.broadcast((model, statistics))
+    shared = spark.sparkContext.broadcast((model, totals))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, statistics = shared.value
+        model, totals = shared.value
         for b in batches:
-            p = predict(model, features(b, statistics))
+            p = predict(model, features(b, totals))
             by_rule = b["rule_verdict"].to_pylist()
             verdict = [r or ("block" if s >= threshold else "allow") for r, s in zip(by_rule, p, strict=True)]
             yield pa.RecordBatch.from_arrays(

@@ -201,6 +201,25 @@ def test_url_rules_and_trees(spark):
     assert url_filter.judged(pages.limit(0)).count() == 0
 
 
+def test_url_suffixes_are_counted_exactly(spark):
+    urls = [f"http://w{n % 7}.d{n % 31}.{'com' if n % 3 else 'org'}/{'fr' if n % 2 else 'de'}/{n}" for n in range(400)]
+    urls += ["http://com/fr/1", "nothing", None, urls[5], urls[5]]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    plain = url_filter.with_suffixes(url_filter.with_rule(url_filter.split_url(pages)))
+    rows = url_filter.with_statistics(plain, *url_filter.suffix_statistics(plain)).collect()
+    assert sorted(r.page_id for r in rows) == list(range(len(urls)))
+    for depth in (1, 2):
+        suffix = lambda r: ".".join(r.host.split(".")[-depth:])
+        for r in rows:
+            alike = [o for o in rows if suffix(o) == suffix(r)]
+            got = tuple(r[f"{c}_{depth}"] for c in ("n", "labelled", "blocked"))
+            assert got == (len(alike), sum(o.rule_verdict is not None for o in alike), sum(o.rule_verdict == "block" for o in alike))
+    known = sum(r.rule_verdict is not None for r in rows)
+    few = url_filter.training_sample(plain, known, 20).collect()
+    assert len(few) <= 20 and known > 80
+    assert url_filter.training_sample(plain, known, 1000).count() == known
+
+
 def test_trees_separate_what_features_separate():
     r = np.random.default_rng(0)
     x = r.random((2000, 4))
