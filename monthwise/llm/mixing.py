@@ -59,6 +59,10 @@ def _rate(multiplier: Column, x: Column, most: float) -> Column:
     return F.least(F.lit(float(most)), F.exp(F.least(multiplier * x, F.lit(50.0))))
 
 
+#: A relative distance from the target that sums of doubles may leave behind when the tolerance is not reached.
+ROUNDING = 1e-6
+
+
 def balanced(cells: DataFrame, targets: DataFrame, most: float, tolerance: float = 1e-10, rounds: int = 80) -> DataFrame:
     """Targets with the multiplier of each source, by distributed Newton steps on the dual."""
     free = (F.col("target") > 0) & (F.col("target") < F.col("source_size") * most * (1 - 1e-12))
@@ -99,6 +103,9 @@ def balanced(cells: DataFrame, targets: DataFrame, most: float, tolerance: float
         )
         if state.where(F.col("free") & (F.col("off") > tolerance)).isEmpty():
             break
+    else:
+        if not state.where(F.col("free") & (F.col("off") > ROUNDING)).isEmpty():
+            raise RuntimeError(f"sources are further than {ROUNDING} from their targets after {rounds} rounds")
     return state
 
 
