@@ -6,8 +6,9 @@ Windows are short beside an item and overlap: those of a text begin at every mul
 every byte, so that some window of an edited passage meets few edits. A table samples a few steps of the walk. The
 sizes, by length of the item, are those of PLANS, which reach RECALL for passages edited by all of EDIT_RATE; the
 test measures it against brute force. Of long items two windows of a text must meet the item at places that edits
-within the rate can explain. Candidates go through bit-parallel edit distances of many places at once, which lose
-nothing, and then meet the whole item in an exact search for its best match around the place.
+within the rate can explain. Overlapping places of an item become one. Candidates go through bit-parallel edit
+distances of many places at once, first of single parts of the item, then of the item, which lose nothing, and then
+meet the whole item in an exact search for its best match around the place.
 
 The benchmark goes to the tasks in blocks of at most `block_bytes` of text; each block is one pass.
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.llm.common import _LOWER, _SPACE, mix, pieces, text_bytes
+from monthwise.llm.common import _LOWER, _SPACE, pieces, text_bytes
 
 #: A passage leaks if at most this share of the item's bytes must be edited.
 EDIT_RATE = 0.2
@@ -54,13 +55,21 @@ PLANS = (
 )
 _NORMAL = np.where(_SPACE, 32, _LOWER).astype(np.uint8)
 _FILTER_BITS = 20
-#: Hits expanded, and places compared, at once.
-_HITS, _PLACES = 1 << 22, 4096
+#: Hits expanded, places compared, and windows walked, at once.
+_HITS, _PLACES, _WINDOWS = 1 << 22, 4096, 1 << 16
+#: Fewer places than this are left to the exact search.
+_FEW = 32
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def walk_bits(walk: int, steps: int) -> np.ndarray:
-    """The random bits of a walk: whether step and byte move on (steps, 256)."""
-    return np.random.default_rng([31, walk]).integers(0, 2, (steps, 256)).astype(np.uint8)
+def walk_marks(walk: int, steps: int) -> np.ndarray:
+    """For each byte the byte itself, from bit 8 on whether each step of the walk moves on, and random bits (256)."""
+    r = np.random.default_rng([31, walk])
+    moves = r.integers(0, 2, (steps, 256)).astype(np.uint64)
+    marks = np.arange(256, dtype=np.uint64) | r.integers(0, 1 << (56 - steps), 256, np.uint64) << np.uint64(8 + steps)
+    for j, own in enumerate(moves):
+        marks |= own << np.uint64(8 + j)
+    return marks
 
 
 def sampled_steps(walk: int, plan: Plan) -> np.ndarray:
@@ -73,27 +82,29 @@ def sampled_steps(walk: int, plan: Plan) -> np.ndarray:
     return np.stack([r.integers(bounds[:-1], np.maximum(bounds[1:], bounds[:-1] + 1)) for _ in range(plan.tables)])
 
 
-def walked(data: np.ndarray, starts: np.ndarray, walk: int, plans: list[Plan]) -> list[np.ndarray]:
-    """Table keys (tables, n) for each plan of one window size; `data` is padded by at least 1.5 windows."""
+def walked(data: np.ndarray, starts: np.ndarray, walk: int, plans: list[Plan], counts: list[int]) -> list[np.ndarray]:
+    """Table keys (tables, count) of the first windows for each plan of one window size; `data` is padded by 1.5 windows."""
     steps = plans[0].window * 3 // 2
-    bits, chosen = walk_bits(walk, steps), [row for plan in plans for row in sampled_steps(walk, plan)]
-    out = np.zeros((len(chosen), len(starts)), np.uint64)
-    at = starts.astype(np.int32 if len(data) < 1 << 31 else np.int64)
-    byte, move = np.empty(len(starts), np.uint8), np.empty(len(starts), np.uint8)
-    tables: list[list[int]] = [[] for _ in range(steps)]
-    for t, own in enumerate(chosen):
-        for j in own:
-            tables[j].append(t)
-    for j in range(max(int(own.max()) for own in chosen) + 1):
-        np.take(data, at, out=byte, mode="clip")
-        for t in tables[j]:
-            out[t] *= np.uint64(0x100000001B3)
-            out[t] += byte
-        np.take(bits[j], byte, out=move, mode="clip")
-        at += move
-    salts = [16 * walk + t for plan in plans for t in range(plan.tables)]
-    keys = np.stack([mix(row, salt) for row, salt in zip(out, salts, strict=True)])
-    return np.split(keys, np.cumsum([plan.tables for plan in plans])[:-1])
+    marked, chosen = walk_marks(walk, steps)[data], [sampled_steps(walk, plan) for plan in plans]
+    out = [np.zeros((plan.tables, count), np.uint64) for plan, count in zip(plans, counts, strict=True)]
+    edges = sorted({*counts, *range(0, max(counts), _WINDOWS)})
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        rows: list[list[np.ndarray]] = [[] for _ in range(steps)]
+        for keys, own, count in zip(out, chosen, counts, strict=True):
+            if a < count:
+                for key, sampled in zip(keys, own, strict=True):
+                    for j in sampled:
+                        rows[j].append(key[a:b])
+        at, mark = starts[a:b].astype(np.int64), np.empty(b - a, np.uint64)
+        for j in range(max(j for j in range(steps) if rows[j]) + 1):
+            np.take(marked, at, out=mark, mode="clip")
+            for row in rows[j]:
+                row *= _FACTOR
+                row += mark
+            mark >>= np.uint64(8 + j)
+            mark &= np.uint64(1)
+            at += mark.view(np.int64)
+    return out
 
 
 @dataclass
@@ -138,7 +149,7 @@ class Index:
             who, shift = np.repeat(members, [len(s) for s in shifts]), np.concatenate(shifts)
             for walk in range(WALKS):
                 got = []
-                for key in walked(data, starts, walk, [plan])[0]:
+                for key in walked(data, starts, walk, [plan], [len(starts)])[0]:
                     order = np.argsort(key, kind="stable")
                     seen = np.zeros(1 << _FILTER_BITS, bool)
                     seen[(key >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
@@ -169,10 +180,58 @@ def best_match(item: Item, text: bytes) -> tuple[int, int]:
     return best, end
 
 
-def may_match(index: Index, data: np.ndarray, first: np.ndarray, last: np.ndarray, numbers: np.ndarray, most: np.ndarray) -> np.ndarray:
+def parts_match(index: Index, data: np.ndarray, first: np.ndarray, last: np.ndarray, numbers: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether the 64-byte parts of each item, each at its best within data[first:last], come to at most `most` edits.
+
+    No match needs fewer edits than its parts, so this loses none. A part is sought only where a match that lies in the
+    range can hold it. Items of one word pass unseen, as do the last few places.
+    """
+    out, lengths, spent = np.ones(len(first), bool), index.lengths[numbers], np.zeros(len(first), np.int64)
+    one = np.uint64(1)
+    for part in range(int(lengths.max(initial=0)) // 64):
+        at = 64 * part
+        live = np.flatnonzero(out & (lengths > 64) & (lengths >= at + 64))
+        if len(live) < _FEW:
+            break
+        begins = first[live] + np.maximum(0, at - most[live])
+        ends = np.maximum(begins, last[live] - np.maximum(0, lengths[live] - at - 64 - most[live]))
+        order = np.argsort(begins - ends, kind="stable")
+        for k in range(0, len(live), _PLACES):
+            own, begin, end = (x[order[k : k + _PLACES]] for x in (live, begins, ends))
+            active = np.cumsum(np.bincount(end - begin)[::-1])[::-1]  # places of at least so many bytes
+            used, which = np.unique(numbers[own], return_inverse=True)
+            peq = np.zeros((len(used), 256), np.uint64)
+            for u, number in enumerate(used.tolist()):
+                for c, bits in index.items[number].peq.items():
+                    peq[u, c] = bits >> at & (1 << 64) - 1
+            peq, row = peq.ravel(), which.astype(np.int64) * 256
+            score = np.full(len(own), 64, np.int64)
+            best = score.copy()
+            pv, mv = np.full(len(own), (1 << 64) - 1, np.uint64), np.zeros(len(own), np.uint64)
+            for step, n in enumerate(active[1:].tolist()):
+                pv, mv, score = pv[:n], mv[:n], score[:n]
+                eq = peq[row[:n] + data[begin[:n] + step]]
+                xh = (((eq & pv) + pv) ^ pv) | eq
+                ph = mv | ~(xh | pv)
+                mh = pv & xh
+                score += (ph >> np.uint64(63)).view(np.int64)
+                score -= (mh >> np.uint64(63)).view(np.int64)
+                ph <<= one
+                mh <<= one
+                eq |= mv
+                pv = mh | ~(eq | ph)
+                mv = ph & eq
+                np.minimum(best[:n], score, out=best[:n])
+            spent[own] += best
+        out = spent <= most
+    return out
+
+
+def may_match(index: Index, data: np.ndarray, first: np.ndarray, last: np.ndarray, numbers: np.ndarray, most: np.ndarray, few: int = 0) -> np.ndarray:
     """Whether each item comes within `most` edits of a substring of data[first:last], many places at a time.
 
-    Bit-parallel in words of 64 bytes; a place may be read past its end, so some without a match stay.
+    Bit-parallel in words of 64 bytes; a place may be read past its end, so some without a match stay. So do groups of
+    items of one size with fewer than `few` places.
     """
     out = np.zeros(len(first), bool)
     words = (index.lengths[numbers] + 63) // 64
@@ -180,6 +239,9 @@ def may_match(index: Index, data: np.ndarray, first: np.ndarray, last: np.ndarra
     cuts = np.flatnonzero(np.diff(words[order])) + 1
     one = np.uint64(1)
     for group in np.split(order, cuts):
+        if len(group) < few:
+            out[group] = True
+            continue
         for at in range(0, len(group), _PLACES):
             own = group[at : at + _PLACES]
             count = int(words[own[0]])
@@ -220,20 +282,26 @@ def may_match(index: Index, data: np.ndarray, first: np.ndarray, last: np.ndarra
 
 
 def _places(index: Index, data: np.ndarray, offsets: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, item number, place where the item would begin) of all candidates, places in steps of 8 bytes."""
+    """(text number, item number, place where the item would begin) of all candidates, places in steps of 8 bytes.
+
+    Strides of one window size divide one another, so the windows of a plan come before those of smaller strides only.
+    """
     lengths, found = np.diff(offsets), [np.zeros((4, 0), np.int64)]
     for window, plans in index.windows.items():
         stride = min(plan.stride for plan in plans)
         counts = np.maximum(0, (lengths - window) // stride + 1)
         owner = np.repeat(np.arange(len(lengths)), counts)
         within = (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
+        strides = sorted({plan.stride for plan in plans})
+        order = np.argsort(-sum((within % s == 0).astype(np.int8) for s in strides), kind="stable")
+        owner, within = owner[order], within[order]
         padded = np.concatenate([data, np.zeros(2 * window, np.uint8)])
         starts = offsets[:-1][owner] + within
+        counts = [int(np.count_nonzero(within % plan.stride == 0)) for plan in plans]
         for walk in range(WALKS):
-            for plan, keys in zip(plans, walked(padded, starts, walk, plans), strict=True):
+            for plan, keys in zip(plans, walked(padded, starts, walk, plans, counts), strict=True):
                 for key, (seen, sorted_keys, who, shift) in zip(keys, index.tables[plan, walk], strict=True):
-                    hit = np.flatnonzero(seen[(key >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-                    hit = hit[within[hit] % plan.stride == 0]
+                    hit = np.flatnonzero(seen[(key >> np.uint64(64 - _FILTER_BITS)).view(np.int64)])
                     lo = np.searchsorted(sorted_keys, key[hit], "left")
                     n = np.searchsorted(sorted_keys, key[hit], "right") - lo
                     hit, lo, n = hit[n > 0], lo[n > 0], n[n > 0]
@@ -270,7 +338,14 @@ def _found(index: Index, data: np.ndarray, offsets: np.ndarray, rate: float) ->
     allowed = (index.lengths * rate).astype(np.int64)[numbers]
     firsts = np.maximum(0, begins - allowed - 8)
     lasts = np.minimum(np.diff(offsets)[texts], begins + index.lengths[numbers] + allowed + 16)
-    use = may_match(index, data, offsets[texts] + firsts, offsets[texts] + lasts, numbers, allowed)
+    # Neighbours no further apart than the edits that are allowed become one place.
+    new = np.ones(len(texts), bool)
+    new[1:] = (texts[1:] != texts[:-1]) | (numbers[1:] != numbers[:-1]) | (begins[1:] - begins[:-1] > allowed[1:] + 8)
+    ends = np.append(np.flatnonzero(new)[1:] - 1, len(texts) - 1)[: int(new.sum())]
+    texts, numbers, allowed, firsts, lasts = texts[new], numbers[new], allowed[new], firsts[new], lasts[ends]
+    use = np.flatnonzero(parts_match(index, data, offsets[texts] + firsts, offsets[texts] + lasts, numbers, allowed))
+    at = offsets[texts[use]]
+    use = use[may_match(index, data, at + firsts[use], at + lasts[use], numbers[use], allowed[use], _FEW)]
     places: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for text, number, first, last in zip(*(x[use].tolist() for x in (texts, numbers, firsts, lasts)), strict=True):
         places.setdefault((text, number), []).append((first, last))

@@ -150,6 +150,33 @@ def test_decontamination_filter_agrees_with_the_exact_search(length):
         assert (got == want).all()
 
 
+@pytest.mark.parametrize("length", [64, 65, 130, 300])
+def test_decontamination_parts_lose_no_match(length):
+    r = np.random.default_rng(length)
+    index = decontamination.Index([(k, bytes(r.choice(list(b"abc "), length).tolist())) for k in range(4)])
+    texts = [bytes(r.choice(list(b"abc "), 500).tolist()) for _ in range(40)]
+    first, data, numbers = np.arange(40) * 500, np.frombuffer(b"".join(texts), np.uint8), np.arange(40) % 4
+    exact = np.array([least_distance(index.items[k % 4].text, t) for k, t in enumerate(texts)])
+    assert decontamination.parts_match(index, data, first, first + 500, numbers, exact).all()
+    assert decontamination.parts_match(index, data, first, first + 500, numbers, exact // 3).any() == (length == 64)
+
+
+def test_decontamination_compares_few_whole_items_with_clean_text(spark, monkeypatch):
+    """Parts of an item dismiss the places that hashes alone bring up, and neighbours are one place."""
+    r = np.random.default_rng(5)
+    vocabulary = ["".join(r.choice("th he in er an re on at en nd".split(), int(r.integers(1, 4)))) for _ in range(400)]
+    text = lambda n: " ".join(r.choice(vocabulary, n))[: 4 * n].encode()
+    items = [text(int(r.integers(20, 80))) for _ in range(100)]
+    documents = [text(700) for _ in range(60)] + [text(100) + items[7] + text(100)]
+    data, offsets = np.frombuffer(b"".join(documents), np.uint8), np.cumsum([0, *map(len, documents)])
+    index, compared, whole = decontamination.Index(list(enumerate(items))), [], decontamination.may_match
+    monkeypatch.setattr(decontamination, "may_match", lambda *a: compared.append(len(a[2])) or whole(*a))
+    raised = len(decontamination._places(index, data, offsets, 0.2)[0])
+    found = decontamination._found(index, data, offsets, 0.2)
+    assert (60, 7, 0) in {f[:3] for f in found}
+    assert raised > 300 and sum(compared) < raised / 10
+
+
 def test_warc_round_trip(spark):
     page = "<p>ü\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n</p>" * 60
     rows = [(1, "http://a/1", page), (2, None, page), (3, "http://a/\r\n3", page), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (None, "u", "x" * 1000)]
