@@ -79,16 +79,29 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
     return step[ahead] > 0
 
 
-def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """Shared prefix lengths of suffix pairs, up to `depth`; `text` is padded by `depth` bytes."""
-    out = np.zeros(len(a), np.int64)
+def words_of(text: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each place, as numbers that compare as the bytes do."""
+    n = len(text) - 7
+    out = np.zeros(n, np.uint64)
+    for k in range(8):
+        out <<= np.uint64(8)
+        out |= text[k : k + n]
+    return out
+
+
+def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+    """Shared prefix lengths of suffix pairs, up to `depth`; `words` are those of a text padded by `depth` bytes and more."""
+    out = np.full(len(a), depth)
     live = np.arange(len(a))
-    for _ in range(depth):
-        live = live[text[a[live] + out[live]] == text[b[live] + out[live]]]
+    for first in range(0, depth, 8):
         if not len(live):
             break
-        out[live] += 1
-    return out
+        unlike = words[a[live] + first] ^ words[b[live] + first]
+        ended = unlike != 0
+        unlike = unlike[ended]
+        out[live[ended]] = first + sum((unlike < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(1, 8))
+        live = live[~ended]
+    return np.minimum(out, depth)
 
 
 def _push(queues: Queues, text: np.ndarray, taken: np.ndarray, wanted: np.ndarray, since: np.ndarray, depth: int) -> None:
@@ -127,29 +140,34 @@ def suffix_order(text: np.ndarray, depth: int, queue_rows: int = QUEUE_ROWS) ->
     padded = np.concatenate([text, np.zeros(depth + 16, np.uint8)])
     small = smaller_than_next(text)
     valley = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    # Seeds in order of their first `depth` bytes, eight bytes at a time, only what is still tied going on.
+    # Seeds in order of their first `depth` bytes, as many at a time as fit beside a group's number; only what is still
+    # tied goes on.
+    words = words_of(padded)
     rank = np.zeros(len(valley), np.int64)
-    words = np.arange(8, dtype=np.int64)
     tied = np.arange(len(valley))
-    for first in range(0, depth + 8, 8):
-        if not len(tied):
-            break
-        word = padded[np.minimum(valley[tied][:, None] + first + words, n + depth)].view(">u8").ravel().astype(np.uint64)
-        order = np.lexsort((word, rank[tied]))
-        tied, word = tied[order], word[order]
-        old = rank[tied]
-        new = np.ones(len(tied), bool)
-        new[1:] = (old[1:] != old[:-1]) | (word[1:] != word[:-1])
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))
+    first = 0
+    while first < depth + 8 and len(tied):
+        old, places = rank[tied], np.arange(len(tied))
         group = np.ones(len(tied), bool)
         group[1:] = old[1:] != old[:-1]
-        group_begin = np.maximum.accumulate(np.where(group, np.arange(len(tied)), 0))
+        number = np.cumsum(group) - 1
+        count = (64 - int(number[-1]).bit_length()) // 8
+        key = words[valley[tied] + first] >> np.uint64(64 - 8 * count)
+        if count < 8:
+            key |= number.astype(np.uint64) << np.uint64(8 * count)
+        order = np.argsort(key)
+        tied, key = tied[order], key[order]
+        new = np.ones(len(tied), bool)
+        new[1:] = key[1:] != key[:-1]
+        begin = np.maximum.accumulate(np.where(new, places, 0))
+        group_begin = np.maximum.accumulate(np.where(group, places, 0))
         rank[tied] = old + begin - group_begin
         alone = new & np.append(new[1:], True)
         tied = tied[~alone]
+        first += count
     seeds = valley[np.argsort(rank, kind="stable")]
     seed_lcp = np.zeros(len(seeds), np.int64)
-    seed_lcp[1:] = common_prefix(padded, seeds[:-1], seeds[1:], depth)
+    seed_lcp[1:] = common_prefix(words, seeds[:-1], seeds[1:], depth)
     seed_byte = text[seeds]
 
     larger: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -159,7 +177,9 @@ def suffix_order(text: np.ndarray, depth: int, queue_rows: int = QUEUE_ROWS) ->
     def joined(taken: np.ndarray) -> np.ndarray:
         nonlocal last
         taken = taken.copy()
-        taken["lcp"][0] = common_prefix(padded, np.array([last]), taken["at"][:1].astype(np.int64), depth)[0] if last >= 0 else 0
+        now = int(taken["at"][0])
+        unlike = padded[last : last + depth] != padded[now : now + depth] if last >= 0 else np.ones(1, bool)
+        taken["lcp"][0] = unlike.argmax() if unlike.any() else depth
         last = int(taken["at"][-1])
         return taken
 
@@ -202,5 +222,5 @@ def suffix_order(text: np.ndarray, depth: int, queue_rows: int = QUEUE_ROWS) ->
     # Between parts of a bucket the prefix was not carried.
     sizes = [len(x) for b in range(256) for x in [*larger[b], *reversed(smaller[b])]]
     edges = np.cumsum([0, *sizes])[1:-1]
-    lcp[edges] = common_prefix(padded, order[edges - 1].astype(np.int64), order[edges].astype(np.int64), depth)
+    lcp[edges] = common_prefix(words, order[edges - 1].astype(np.int64), order[edges].astype(np.int64), depth)
     return order, lcp

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -148,102 +149,142 @@ def contexts(rows: DataFrame) -> DataFrame:
 _SPAN = "order_id long, h1 long, first long, last long"
 
 
-def _spans(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else ((),) * 4
+def _spans(*columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [x.split()[0] for x in _SPAN.split(", ")])
 
 
-def repeated_in_shard(texts: list[bytes], ids: np.ndarray, h1: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
-    """(context number, place) of every LENGTH-byte string that starts earlier elsewhere in the shard."""
+def repeated_in_shard(texts: list[bytes], ids: np.ndarray, h1: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(context number, first, last) of the stretches covered by LENGTH-byte strings that start earlier in the shard."""
     lengths = np.array([len(t) for t in texts])
     text = np.frombuffer(b"\0".join(texts), np.uint8)
     base = np.cumsum(lengths + 1) - lengths - 1
     order, lcp = suffix_order(text, LENGTH)
-    order = order.astype(np.int64)
-    owner = np.searchsorted(base, order, "right") - 1
+    shared = lcp >= LENGTH
+    run = np.cumsum(~shared)
+    shared[:-1] |= shared[1:]
+    order, run = order[shared].astype(np.int64), run[shared]
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), lengths + 1)[order]
     place = order - base[owner]
-    run = np.cumsum(lcp < LENGTH)
     whole = place + LENGTH <= lengths[owner]  # others are no strings of their context
-    run, owner, place = run[whole], owner[whole], place[whole]
-    by = np.lexsort((starts[owner] + place, h1[owner], ids[owner], run))
-    run, owner, place = run[by], owner[by], place[by]
-    new = np.ones(len(run), bool)
-    new[1:] = run[1:] != run[:-1]
-    begin = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
-    at = starts[owner] + place
+    order, run, owner, place = order[whole], run[whole], owner[whole], place[whole]
+    if not len(order):
+        return (np.zeros(0, np.int64),) * 3
+    begin = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    run = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(run))))
+    later = ids[owner] > np.minimum.reduceat(ids[owner], begin)[run]
     # Places are compared within one text only: other texts of the least id each keep their own earliest place.
-    new[1:] |= (ids[owner[1:]] == ids[owner[begin[1:]]]) & (h1[owner[1:]] != h1[owner[:-1]])
-    own = np.maximum.accumulate(np.where(new, np.arange(len(run)), 0))
-    later = (ids[owner] > ids[owner[begin]]) | (at > at[own])
-    return list(zip(owner[later].tolist(), place[later].tolist(), strict=True))
+    tied = np.flatnonzero(~later & (np.add.reduceat(~later, begin, dtype=np.int64) > 1)[run])
+    at, text_of = starts[owner[tied]] + place[tied], h1[owner[tied]]
+    by = np.lexsort((at, text_of, run[tied]))
+    tied, at, text_of = tied[by], at[by], text_of[by]
+    new = np.ones(len(tied), bool)
+    new[1:] = (run[tied[1:]] != run[tied[:-1]]) | (text_of[1:] != text_of[:-1])
+    later[tied] = at > at[np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))]
+    # In order of the text, strings that overlap or touch are one stretch.
+    gone = np.zeros(len(text), bool)
+    gone[order[later]] = True
+    gone = np.flatnonzero(gone)
+    owner = np.searchsorted(base, gone, "right") - 1
+    new = np.ones(len(gone), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (np.diff(gone) > LENGTH)
+    first, last = gone[new], gone[np.append(new[1:], True)[: len(gone)]] + LENGTH
+    return owner[new], first - base[owner[new]], last - base[owner[new]]
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of contexts sorted by anchor, context, order_id, h1, start: the spans to remove."""
-    shard: list[tuple] = []  # (order_id, h1, start, bytes) of first occurrences of contexts of anchors with several
-    group: list[tuple] = []
+    names = ("anchor", "context", "order_id", "h1", "start")
+    shard: list[tuple] = []  # (order_id, h1, start, bytes) arrays: first occurrences of contexts of anchors with several
+    open_group: list[tuple] = []  # the same with their anchor, which the next batch may go on with
     size = 0
-    anchor = context = None
-
-    def flush() -> list[tuple]:
-        if len(shard) < 2:
-            return []
-        ids, h1, starts = (np.array([s[k] for s in shard]) for k in (0, 1, 2))
-        out = []
-        for k, place in repeated_in_shard([s[3] for s in shard], ids, h1, starts):
-            first = shard[k][2] + place
-            if out and out[-1][:2] == shard[k][:2] and out[-1][2] <= first <= out[-1][3]:
-                out[-1] = (*out[-1][:3], max(out[-1][3], first + LENGTH))
-            else:
-                out.append((*shard[k][:2], first, first + LENGTH))
-        return out
+    before = None  # (anchor, context, h1) of the last row
+    least = start_before = 0  # the least id of its context and the start of its original
+
+    def flush() -> pa.RecordBatch:
+        ids, h1, starts = (np.concatenate([x[k] for x in shard]) for k in range(3))
+        k, first, last = repeated_in_shard([t for x in shard for t in x[3]], ids, h1, starts)
+        return _spans(ids[k], h1[k], starts[k] + first, starts[k] + last)
 
     for batch in batches:
-        found: list[tuple] = []
-        columns = [batch[c].to_pylist() for c in ("anchor", "context", "order_id", "h1", "start", "bytes")]
-        for a, c, order_id, h1, start, text in zip(*columns, strict=True):
-            if a != anchor:
-                if len(group) > 1:
-                    shard += group
-                    size += sum(len(g[3]) for g in group)
-                    if size > SHARD_BYTES:
-                        found += flush()
-                        shard, size = [], 0
-                group, anchor, context = [], a, None
-            if c != context:
-                context = c
-                group.append((order_id, h1, start, text))
-                original = (order_id, h1, start)
-            elif order_id == original[0] and h1 != original[1]:  # another text under the id, so not after it
-                group.append((order_id, h1, start, text))
-                original = (order_id, h1, start)
-            elif order_id > original[0] or start > original[2]:
-                found.append((order_id, h1, start, start + len(text)))
-        yield _spans(found)
-    if len(group) > 1:
-        shard += group
-    yield _spans(flush())
+        if not batch.num_rows:
+            continue
+        anchor, context, order_id, h1, start = (batch[c].to_numpy() for c in names)
+        rows = np.arange(len(anchor))
+        same = np.zeros(len(anchor), bool)  # in the context of the row before
+        same[1:] = (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
+        same[0] = before is not None and before[:2] == (anchor[0], context[0])
+        head = np.maximum.accumulate(np.where(same, -1, rows))
+        ids = np.where(head < 0, least, order_id[head])
+        # The first row of a context, and of each other text under the same least id, which is not after it.
+        other = np.zeros(len(anchor), bool)
+        other[1:] = h1[1:] != h1[:-1]
+        other[0] = before is not None and before[2] != h1[0]
+        original = ~same | (other & (order_id == ids))
+        at = np.maximum.accumulate(np.where(original, rows, -1))
+        starts = np.where(at < 0, start_before, start[at])
+        found = ~original & ((order_id > ids) | (start > starts))
+        lengths = pc.binary_length(batch["bytes"]).to_numpy()
+        yield _spans(order_id[found], h1[found], start[found], (start + lengths)[found])
+        goes_on = before is not None and before[0] == anchor[-1]  # a batch of one anchor, that of the batch before
+        before, least, start_before = (anchor[-1], context[-1], h1[-1]), ids[-1], starts[-1]
+
+        texts = np.array(batch["bytes"].filter(pa.array(original)).to_pylist(), object)
+        open_group.append((order_id[original], h1[original], start[original], texts, anchor[original]))
+        if goes_on:
+            continue
+        group = tuple(np.concatenate([x[k] for x in open_group]) for k in range(5))
+        done = group[4] != anchor[-1]
+        open_group = [tuple(c[~done] for c in group)]
+        shard.append(_of_several(tuple(c[done] for c in group)))
+        size += sum(map(len, shard[-1][3]))
+        if size > SHARD_BYTES:
+            yield flush()
+            shard, size = [], 0
+    if open_group:
+        shard.append(_of_several(tuple(np.concatenate([x[k] for x in open_group]) for k in range(5))))
+    if sum(len(x[3]) for x in shard):
+        yield flush()
+
+
+def _of_several(group: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """(order_id, h1, start, bytes) of the contexts whose anchor has another; anchors come last and sorted."""
+    anchor = group[4]
+    next_to = np.zeros(len(anchor), bool)
+    next_to[1:] = anchor[1:] == anchor[:-1]
+    next_to[:-1] |= next_to[1:]
+    return tuple(c[next_to] for c in group[:4])
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch["text"])
-        out: list[list] = [[], [], [], []]
-        for k, (whole, spans) in enumerate(zip(batch["whole"].to_pylist(), batch["spans"].to_pylist(), strict=True)):
-            text = data[offsets[k] : offsets[k + 1]]
-            change = np.zeros(len(text) + 1, np.int64)
-            if whole:
-                spans = [{"first": 0, "last": len(text)}]
-            if spans:
-                np.add.at(change, [s["first"] for s in spans], 1)
-                np.add.at(change, [s["last"] for s in spans], -1)
-            gone = np.cumsum(change[:-1]) > 0
-            out[0].append(len(text))
-            out[1].append(int(gone.sum()))
-            out[2].append(int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum()))
-            out[3].append(hashlib.sha256(text[~gone].tobytes()).hexdigest())
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(c, t) for c, t in zip(out, types, strict=True)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        n, rows = batch.num_rows, np.arange(batch.num_rows)
+        whole = batch["whole"].to_numpy(zero_copy_only=False)
+        spans, owner = batch["spans"].flatten(), pc.list_parent_indices(batch["spans"]).to_numpy()
+        first, last = (spans.field(k).to_numpy() for k in ("first", "last"))
+        use = (last > first) & ~whole[owner]
+        # One place is left between texts, so that only stretches of one text merge.
+        base = offsets[owner[use]] + owner[use]
+        order = np.argsort(base + first[use])
+        first, last = (base + first[use])[order], np.maximum.accumulate((base + last[use])[order])
+        new = np.ones(len(first), bool)
+        new[1:] = first[1:] > last[:-1]
+        first, last = first[new], last[np.append(new[1:], True)[: len(new)]]
+        cuts = np.searchsorted(first, offsets + np.append(rows, n))
+        lengths = np.diff(offsets)
+        n_removed = np.where(whole, lengths, np.diff(np.append(0, np.cumsum(last - first))[cuts]))
+        n_spans = np.where(whole, lengths > 0, np.diff(cuts))
+        digests = []
+        for k, begin, end in zip(rows.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            digest = hashlib.sha256()
+            if not whole[k]:
+                for i in range(cuts[k], cuts[k + 1]):
+                    digest.update(data[begin : first[i] - k])
+                    begin = last[i] - k
+                digest.update(data[begin:end])
+            digests.append(digest.hexdigest())
+        columns = [pa.array(c, pa.int64()) for c in (lengths, n_removed, n_spans)]
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns, pa.array(digests, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def removed_spans(documents: DataFrame) -> DataFrame:

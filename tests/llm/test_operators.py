@@ -6,6 +6,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,6 +294,48 @@ def test_suffix_dedup_against_brute_force(spark):
     assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_suffix_dedup_hands_on_stretches_instead_of_strings(spark):
+    """Strings of one stretch that a shard finds are one row, not one for each byte."""
+    r = np.random.default_rng(3)
+    word = lambda n: "".join(r.choice(list("abcdefghij "), n))
+    passage = word(150)
+    docs = documents(spark, [(k, word(300) + passage + word(300), "a") for k in range(20)])
+    assert suffix_dedup.removed_spans(docs).count() <= 20 * 10
+    got = {x.doc_id: x for x in suffix_dedup.without_repeats(docs).collect()}
+    assert got[0].n_removed == 0 and all(got[k].n_spans == 1 and got[k].n_removed >= 150 for k in range(1, 20))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_suffix_dedup_shards_do_not_depend_on_batches(size):
+    """Contexts and anchors that go on in the next batch, several texts under one id, and equal rows."""
+    r = np.random.default_rng(4)
+    cores = {anchor: bytes(r.choice(list(b"abcd"), 101).tolist()) for anchor in (5, 6, 7)}
+    sides = [(b"", b""), (b"x", b""), (b"x", b"y"), (b"zz", b"y")]
+    rows = []
+    for anchor in (5, 6, 7):
+        for _ in range(25 if anchor < 7 else 1):
+            context = int(r.integers(0, len(sides)))
+            left, right = sides[context]
+            rows.append((anchor, 10 * anchor + context, int(r.integers(0, 4)), int(r.integers(0, 2)), (10 * context + anchor) * 10000 + int(r.integers(0, 5)) * 1000, left + cores[anchor] + right))
+    rows.sort()
+    names = ["anchor", "context", "order_id", "h1", "start", "bytes"]
+    types = [pa.int64()] * 5 + [pa.binary()]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, names)
+    spans = [x for b in suffix_dedup._sorted_shards(iter([batch.slice(k, size) for k in range(0, len(rows), size)])) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    got = {(i, h, p) for i, h, first, last in spans for p in range(first, last)}
+    strings, want = {}, set()
+    for _, _, i, h, start, text in rows:
+        for p in range(len(text) - 99):
+            strings.setdefault(text[p : p + 100], set()).add((i, h, start + p))
+    for places in strings.values():
+        least = min(i for i, *_ in places)
+        for i, h, p in places:
+            if i > least or any((j, g) == (i, h) and q < p for j, g, q in places):
+                want |= {(i, h, q) for q in range(p, p + 100)}
+    assert got == want
+
+
 def test_suffix_dedup_keeps_passages_of_other_texts_under_the_same_id(spark):
     r = np.random.default_rng(6)
     word = lambda n: " ".join("".join(r.choice(list("abcdeé"), 5)) for _ in range(n))
